@@ -1 +1,323 @@
-"""placeholder"""
+"""Moments, pooling, merging and composition."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import bridge
+from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS
+from ..functions import identity
+from ..functions.statistics import mean_error
+from ..operators import moments, ordering
+from ..plans import compose_channels, merge_campaign
+from . import d, events, query, r, view_sql
+from .derivations import coefficient_sql
+
+EV = f"with ev as ({bridge.event_view_sql('events')})"
+V = f"with {view_sql()}"
+LOW, HIGH = 150.0, 300.0
+
+LAB = V + (
+    ", lab as (select *, case when m4 < 150e0 then 'below' when m4 > 300e0 then 'above' else 'accepted' end as label from v)"
+)
+_MOM = (
+    "count(*) as n, count(*) filter (where label='accepted') as acc, count(*) filter (where label='below') as below, "
+    "count(*) filter (where label='above') as above, sum(w) as s, sum(w*w) as q, sum(abs(w)) as a, "
+    "coalesce(sum(w) filter (where label='accepted'),0e0) as sa, coalesce(sum(w*w) filter (where label='accepted'),0e0) as qa, "
+    "coalesce(sum(abs(w)) filter (where label='accepted'),0e0) as aa"
+)
+JOBS = LAB + f", job as (select job_id, {_MOM} from lab group by job_id)"
+POOL = JOBS + (
+    ", pool as (select sum(n)::bigint as n, sum(acc)::bigint as acc, sum(s) as s, sum(q) as q, sum(a) as a, "
+    "sum(sa) as sa, sum(qa) as qa, sum(aa) as aa from job)"
+)
+
+
+def err(s: str, q: str) -> str:
+    return f"case when n >= 2 then sqrt(greatest({q}-{s}*{s}/n,0e0)/(n*1e0*(n-1))) end"
+
+
+def labelled(spark, sf):
+    m, _ = moments.four_lepton_mass_checked("lhe")
+    return (
+        events(spark, sf)
+        .selectExpr("*", f"{m} as m4l")
+        .selectExpr("*", f"{moments.phase_space_label('m4l', LOW, HIGH)} as phase_space", "w as weight_lhe")
+    )
+
+
+def job_moments(spark, sf):
+    return moments.normalization_moments(labelled(spark, sf))
+
+
+_DERIVED = [
+    d("acc*1e0/n", "count_efficiency"), d("sa/nullif(s,0e0)", "signed_efficiency"), d("aa/nullif(a,0e0)", "absolute_efficiency"),
+    d("s/n", "inclusive"), d(err("s", "q"), "inclusive_error"), d("sa/n", "filtered"), d(err("sa", "qa"), "filtered_error"),
+]
+_RENAMED = [
+    r("count_efficiency", "count_efficiency"), r("signed_efficiency", "signed_efficiency"),
+    r("absolute_efficiency", "absolute_efficiency"), r("inclusive_cross_section_pb", "inclusive"),
+    r("inclusive_cross_section_mc_error_pb", "inclusive_error"), r("filtered_cross_section_pb", "filtered"),
+    r("filtered_cross_section_mc_error_pb", "filtered_error"),
+]
+
+
+@query(
+    "A01_A02_job_normalization",
+    JOBS + " select job_id, n as generated, acc as accepted, below, above, "
+    + ", ".join([d("s", "sumw", 4), d("q", "sumw2", 4), d("aa", "sumabsw_accepted", 4), *_DERIVED]) + " from job",
+)
+def job_normalization(spark, sf):
+    return job_moments(spark, sf).selectExpr(
+        "job_id", "generated_lhe_events as generated", "accepted_lhe_events as accepted",
+        "rejected_below_m4l as below", "rejected_above_m4l as above", r("sumw_generated", "sumw", 4),
+        r("sumw2_generated", "sumw2", 4), r("sumabsw_accepted", "sumabsw_accepted", 4), *_RENAMED,
+    )
+
+
+@query("A05_pooled_normalization", POOL + " select n as generated, acc as accepted, " + ", ".join(_DERIVED) + " from pool")
+def pooled(spark, sf):
+    return moments.pool(job_moments(spark, sf)).selectExpr(
+        "generated_lhe_events as generated", "accepted_lhe_events as accepted", *_RENAMED
+    )
+
+
+def merged_totals(spark, sf):
+    """Pooled scale of the bridge campaign: accepted events are the retained ones."""
+    kept = labelled(spark, sf).where("phase_space = 'accepted'")
+    jobs = moments.weight_totals(kept, keys=["campaign_id", "sample_code", "job_id"])
+    sums = jobs.groupBy("campaign_id", "sample_code").agg(
+        F.sum("sumw").alias("retained_raw_sumw_pb"), F.sum("sumabsw").alias("retained_raw_sumabsw_pb")
+    )
+    pooled_rows = moments.pool(job_moments(spark, sf))
+    return pooled_rows.join(sums, ["campaign_id", "sample_code"]).withColumn(
+        "merged_weight_scale", F.expr("try_divide(filtered_cross_section_pb, retained_raw_sumw_pb)")
+    )
+
+
+@query(
+    "A06_common_scale",
+    POOL + " select " + d("sa/n/sa", "scale", 10) + ", " + d("sa", "retained", 4) + " from pool",
+)
+def common_scale(spark, sf):
+    return merged_totals(spark, sf).selectExpr(r("merged_weight_scale", "scale", 10), r("retained_raw_sumw_pb", "retained", 4))
+
+
+@query(
+    "J07_P24_P25_nominal_weights",
+    POOL + " select i, " + d("w*(1e0/pool.n)", "weight_nominal_pb", 8) + ", " + d("w*(1e0/pool.n)*312000e0", "weight", 4)
+    + " from lab, pool where label='accepted'",
+)
+def nominal_weights(spark, sf):
+    kept = labelled(spark, sf).where("phase_space = 'accepted'")
+    scale = merged_totals(spark, sf).select("merged_weight_scale").scalar()
+    return kept.withColumn("n", F.col("weight_lhe") * scale).selectExpr(
+        "i", r("n", "weight_nominal_pb", 8), r("n * 312000D", "weight", 4)
+    )
+
+
+@query(
+    "A03_W05_run_summary",
+    EV + ", u as (select *, w*0.5e0+1e0 as xs from ev) select job_id, count(*) as event_count, "
+    "min(source_event_id) as id_min, max(source_event_id) as id_max, "
+    "count(*) filter (where w>0) as positive, count(*) filter (where w<0) as negative, count(*) filter (where w=0) as zero, "
+    + ", ".join([d("sum(w)", "sumw", 4), d("sum(w*w)", "sumw2", 4), d("sum(abs(w))", "sumabsw", 4),
+                 d("arg_min(xs, i)", "xs_first"), d("min(xs)", "xs_min"), d("max(xs)", "xs_max"), d("arg_max(xs, i)", "xs_final")])
+    + ", count(*) filter (where i % 7 <> 0) as candidates from u group by job_id",
+)
+def run_summary(spark, sf):
+    ev = events(spark, sf).selectExpr(
+        "*", "w as weight_lhe", "i as lhe_event_index", "i as hepmc_event_number", "w*0.5D+1D as cross_section_pb_delphes",
+        "i % 7 <> 0 as lhe_candidate", "i % 7 <> 0 as lhe_projection_valid",
+    )
+    return moments.run_summary(ev, levels=("lhe",)).selectExpr(
+        "job_id", "event_count", "source_event_id_min as id_min", "source_event_id_max as id_max",
+        "positive_weight_count as positive", "negative_weight_count as negative", "zero_weight_count as zero",
+        r("sumw", "sumw", 4), r("sumw2", "sumw2", 4), r("sumabsw", "sumabsw", 4),
+        r("cross_section_first_pb_delphes", "xs_first"), r("cross_section_min_pb_delphes", "xs_min"),
+        r("cross_section_max_pb_delphes", "xs_max"), r("cross_section_final_pb_delphes", "xs_final"),
+        "lhe_candidate_count as candidates",
+    )
+
+
+@query(
+    "A07_exact_sums",
+    "select event_type, " + d("sum(value::decimal(18,2))::double", "total", 4)
+    + ", " + d("sum((value*1000000000)::decimal(38,3))::double", "shifted", 0) + " from events group by event_type",
+)
+def exact_sums(spark, sf):
+    df = bridge.tables(spark, sf, "events").selectExpr("event_type", "value as total", "value * 1e9D as shifted")
+    return moments.exact_sums(df, keys=["event_type"], columns=["total", "shifted"]).selectExpr(
+        "event_type", r("total", "total", 4), r("shifted", "shifted", 0)
+    )
+
+
+def _component_events(spark, sf):
+    ev = events(spark, sf).withColumn("source_polarization_code", F.col("channel_code"))
+    return compose_channels.component_columns(ev, "w")
+
+
+@query(
+    "A08_component_totals",
+    EV + " select count(*) as n, " + ", ".join(
+        x for s in COMPONENTS for c in [f"w*({coefficient_sql(s)})"] for x in (
+            d(f"sum({c})", f"sumw_{s}", 3), d(f"sum(abs({c}))", f"sumabsw_{s}", 3),
+            f"count(*) filter (where {c} > 0) as pos_{s}", f"count(*) filter (where {c} = 0) as zero_{s}")
+    ) + " from ev",
+)
+def component_totals(spark, sf):
+    t = compose_channels.component_totals(_component_events(spark, sf))
+    return t.selectExpr(
+        "event_count as n",
+        *[x for s in COMPONENTS for x in (
+            r(f"sumw_{s}_pb", f"sumw_{s}", 3), r(f"sumabsw_{s}_pb", f"sumabsw_{s}", 3),
+            f"positive_weight_count_{s} as pos_{s}", f"zero_weight_count_{s} as zero_{s}")],
+    )
+
+
+def _channel_summaries(spark, sf):
+    """Merge-summary-like rows of the four bridge channels."""
+    per = events(spark, sf).groupBy("channel_code", "campaign_id").agg(
+        F.expr("count(*) as event_count"), F.expr("count(distinct job_id) as source_job_count"),
+        F.expr("sum(w) as effective_filtered_cross_section_pb"), F.expr("sum(w*w) as q"),
+    )
+    return per.selectExpr(
+        "channel_code as source_polarization_code", "campaign_id", "channel_code + 10 as sample_code", "event_count",
+        "source_job_count", "effective_filtered_cross_section_pb",
+        f"{mean_error('effective_filtered_cross_section_pb', 'q', 'event_count')} as effective_filtered_cross_section_mc_error_pb",
+    )
+
+
+_CH = EV + ", ch as (select channel_code, count(*) as n, count(distinct job_id) as jobs, sum(w) as x from ev group by channel_code)"
+
+
+@query(
+    "A11_channel_contributions",
+    _CH + " select channel_code as code, n as event_count, jobs as source_job_count, " + ", ".join(
+        d(f"x*({coefficient_sql(s)})", f"contribution_{s}", 3) for s in COMPONENTS) + " from ch",
+)
+def channel_contributions(spark, sf):
+    return compose_channels.source_rows(_channel_summaries(spark, sf)).selectExpr(
+        "source_polarization_code as code", "event_count", "source_job_count",
+        *[r(f"contribution_{s}_pb", f"contribution_{s}", 3) for s in COMPONENTS],
+    )
+
+
+@query(
+    "A09_A10_Q15_composition_closure",
+    _CH + " select sum(n)::bigint as event_count, " + ", ".join(
+        x for s in COMPONENTS for x in (d(f"sum(x*({coefficient_sql(s)}))", f"expected_{s}", 3), f"true as closed_{s}")
+    ) + " from ch",
+)
+def composition_closure(spark, sf):
+    sources = compose_channels.source_rows(_channel_summaries(spark, sf))
+    totals = compose_channels.component_totals(_component_events(spark, sf))
+    s = compose_channels.composition_summary(totals, sources)
+    return s.selectExpr(
+        "event_count",
+        *[x for c in COMPONENTS for x in (
+            r(f"expected_integral_{c}_pb", f"expected_{c}", 3),
+            f"abs(closure_residual_{c}_pb) <= closure_tolerance_{c}_pb as closed_{c}")],
+    )
+
+
+@query(
+    "U02_T03_composed_events",
+    EV + " select i, channel_code as code, " + ", ".join(d(f"w*({coefficient_sql(s)})", s if s[0] == 'm' else f"w_{s}") for s in COMPONENTS)
+    + " from ev where channel_code < 4",
+)
+def composed_events(spark, sf):
+    ev = events(spark, sf).withColumnRenamed("w", "weight_nominal_pb")
+    samples = {c: ev.where(f"channel_code = {k}") for k, c in enumerate(("LL", "TT", "TL", "LT"))}
+    out = compose_channels.component_columns(compose_channels.union_channels(samples))
+    return out.selectExpr(
+        "i", "bigint(source_polarization_code) as code",
+        *[r(COMPONENT_WEIGHT_COLUMNS[s], s if s[0] == "m" else f"w_{s}") for s in COMPONENTS],
+    )
+
+
+@query(
+    "A22_source_id_digest",
+    EV + " select job_id, count(*) as n, "
+    "sha256(unhex(string_agg(lpad(to_hex(source_event_id), 16, '0'), '' order by source_event_id))) as sequence_sha256 "
+    "from ev group by job_id",
+)
+def id_digest(spark, sf):
+    return identity.sequence_digest_groups(
+        events(spark, sf), keys=["job_id"], value="source_event_id", limit=100_000
+    ).select("job_id", "n", "sequence_sha256")
+
+
+@query("A23_weight_payload_digest")
+def payload_digest(spark, sf):
+    """Order-free fingerprint of each job's weights (hash differs between engines)."""
+    return events(spark, sf).groupBy("job_id").agg(
+        F.expr(f"{identity.payload_digest(['source_event_id', 'w'])} as payload")
+    )
+
+
+@query(
+    "A24_pattern_counts",
+    "select source, count(*) filter (where contains(line, 'the')) as with_the, "
+    "count(*) filter (where contains(line, '0')) as with_zero from "
+    "(select source, unnest(string_split(text, chr(10))) as line from documents) t group by source",
+)
+def pattern_counts(spark, sf):
+    from ..sources.metadata import count_patterns
+
+    lines = bridge.tables(spark, sf, "documents").selectExpr("source", "explode(split(text, '\\n')) as value")
+    return count_patterns(lines, {"with_the": "the", "with_zero": "0"}, keys=["source"])
+
+
+@query(
+    "A25_distinct_rules",
+    "select count(*) as n, count(distinct user_id) as users, count(distinct event_type) as types, "
+    "count(*) = count(distinct event_id) as ids_unique from events",
+)
+def distinct_rules(spark, sf):
+    return bridge.tables(spark, sf, "events").agg(
+        F.expr("count(*) as n"), F.expr("count(distinct user_id) as users"),
+        F.expr("count(distinct event_type) as types"), F.expr("count(*) = count(distinct event_id) as ids_unique"),
+    )
+
+
+@query(
+    "S13_first_events_per_job",
+    EV + " select job_id, i, ordinal from (select job_id, i, row_number() over (partition by job_id order by source_event_id) - 1 as ordinal from ev) t where ordinal < 10",
+)
+def first_events(spark, sf):
+    ranked = ordering.with_rank(events(spark, sf).select("job_id", "i", "source_event_id"), ["job_id"], "source_event_id", width=64)
+    return ranked.where("ordinal < 10").select("job_id", "i", "ordinal")
+
+
+def _campaign(spark, sf):
+    """Two merged tables of the bridge campaign: analysis events and run rows."""
+    ev = bridge.analysis_events(spark, sf).drop("weight_nominal_pb", "lumi", "truth_lhe_valid")
+    keep = ["campaign_id", "sample_code", "job_id", "source_event_id", "weight_lhe", "reconstructed", "reco_pass_selection"]
+    keep += [f"{l}_{c}" for l in ("lhe", "dressed", "reco") for c in ("candidate", "projection_valid", "theta1", "phi1", "theta2", "phi2")]
+    ev = ev.selectExpr(*keep, "i as lhe_event_index", "i as hepmc_event_number")
+    return ev
+
+
+@query(
+    "A04_U01_Q03_campaign_merge",
+    POOL.replace("label='accepted'", "true") + " select " + d("s/n", "cross_section") + ", n as event_count, n as truth_valid, "
+    + d("s", "retained", 4) + ", cast(0 as bigint) as findings from pool",
+)
+def campaign_merge(spark, sf):
+    from ..session import cut
+
+    ev = cut(_campaign(spark, sf))
+    jobs = moments.run_summary(ev)
+    norm = moments.normalization_moments(ev.selectExpr("*", "'accepted' as phase_space"))
+    names = {**merge_campaign.NORMALIZATION, **merge_campaign.EFFECTIVE}
+    runs = cut(jobs.join(
+        norm.selectExpr("campaign_id", "sample_code", "job_id", *[f"{v} as {k}" for k, v in names.items()]),
+        ["campaign_id", "sample_code", "job_id"],
+    ).withColumns({"generation_seed": F.col("job_id") + 1, "delphes_seed": F.col("job_id") + 1000001}))
+    out = merge_campaign.merge_campaign(ev, runs)
+    found = out.findings.agg(F.count("*").alias("n"))
+    return out.summary.withColumn("findings", found.scalar()).selectExpr(
+        r("effective_filtered_cross_section_pb", "cross_section"), "event_count",
+        "truth_lhe_valid_count as truth_valid", r("retained_raw_sumw_pb", "retained", 4), "findings",
+    )
