@@ -227,14 +227,15 @@ def contract_rules(contract: DataFrame, keys: Sequence[str] = JOB_KEY, rtol: flo
         return ok, c, u
 
     error = lambda which: mean_error(f"sumw_{which}", f"sumw2_{which}", n)
+    # job rows carry no rejected counts, contract documents do
+    rejected = [c for c in ("rejected_below_m4l", "rejected_above_m4l") if c in contract.columns]
+    relation = f"{n} = {' + '.join([a, *rejected])}" if rejected else f"{n} >= {a}"
     return rules(
         contract,
         keys,
         {
             "contract.counts": (
-                f"{n} = {a} + rejected_below_m4l + rejected_above_m4l and {n} > 0 and {a} >= 0",
-                f"concat_ws('+', {a}, rejected_below_m4l, rejected_above_m4l)",
-                n,
+                f"{relation} and {n} > 0 and {a} >= 0", f"concat_ws('+', {', '.join([a, *rejected])})", n,
             ),
             "contract.moments.generated": (
                 f"sumw2_generated >= 0D and {moments_consistent('sumw_generated', 'sumw2_generated', n)}",

@@ -149,7 +149,7 @@ def photon_dressing(spark, sf):
 @query(
     "J09_bin_lookup",
     "select event_id, cast(case when value < 0 then 0 when value >= 100 then 24 else floor(value/4e0) end as bigint) as uniform, "
-    "cast(greatest(least(len(list_filter([0e0, 5e0, 7.5e0, 20e0, 80e0], e -> e <= value)) - 1, 3), 0) as bigint) as custom from events",
+    "cast(greatest(least(len([e for e in [0e0, 5e0, 7.5e0, 20e0, 80e0] if e <= value]) - 1, 3), 0) as bigint) as custom from events",
 )
 def bin_lookup(spark, sf):
     return bridge.tables(spark, sf, "events").selectExpr(
