@@ -129,7 +129,8 @@ def physics_fingerprint(spark, sf):
 
 @query(
     "Q10_Q21_schema_and_retention",
-    "select rule, n from (values ('retention', 2), ('schema', 3)) t(rule, n)",
+    "select rule, n from (values ('retention', 2), ('schema', 3)) t(rule, n) "
+    "union all select 'retention.count', count(*) from (select count(*) as n from events) c where n <> 1",
 )
 def schema_rules(spark, sf):
     from pyspark.sql import types as T
@@ -140,6 +141,7 @@ def schema_rules(spark, sf):
     return per_rule(audit.combine(
         audit.schema_findings(ev, want, "events"),
         audit.required_columns(nested, ["Particle.px", "Particle.py", "Weight"], "Delphes"),
+        audit.row_count(nested, 1),
     ))
 
 

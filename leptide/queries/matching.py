@@ -1,4 +1,8 @@
-"""Stream matching, ordering, dressing, ancestry and set operations."""
+"""Stream matching, ordering, dressing, ancestry and set operations.
+
+All queries read whole tables. Where a copy leaves rows out, the gaps are the
+point: unmatched events, missing IDs, ordinals that have to be renumbered.
+"""
 
 from __future__ import annotations
 

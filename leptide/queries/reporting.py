@@ -165,17 +165,26 @@ def full_report(spark, sf):
     return h.histograms(h.fill(ev, specs), specs)
 
 
+_CATEGORY = {
+    "m_Z1": "kinematics", "m_ZZ": "kinematics", "cos_theta1": "kinematics", "cos_theta_star": "kinematics",
+    "raw_muon_minus_px": "momenta", "electron_plus_pt_for_selection": "selection", "ordered_pt2": "selection",
+}
+
+
 @query(
     "R01_observable_table",
-    "select category, n from (values ('kinematics', 18, 0), ('projection', 6, 0), ('momenta', 32, 0), ('selection', 21, 0)) t(category, n, x) "
-    "where (select count(*) from events) > 0",
+    "select observable, category, bins::bigint as bins, n from (values " + ", ".join(
+        f"('{n}', '{_CATEGORY[n]}', {k})" for n, (_, _, _, k) in _SPECTRA.items()) + ") t(observable, category, bins), "
+    "(select count(*) as n from events) c",
 )
 def observable_table(spark, sf):
-    """Observables that the event view can fill, by category."""
-    have = set(selection.selection_observables(levels.derive_level(events(spark, sf), "lhe"), "lhe").columns)
-    specs = [s for s in h.observable_table() if f"lhe_{s.name}" in have]
+    """The observable dimension joined to the filled bins."""
+    slots, specs = _spectra(spark, sf)
+    hist = h.histograms(slots, specs, ("lhe",)).where("selection = 'all'").select("observable", "bin", "n")
     dim = h.observable_dimension(spark, specs)
-    return dim.select("category", "observable").distinct().groupBy("category").agg(F.count("*").alias("n"))
+    return hist.join(F.broadcast(dim), ["observable", "bin"]).groupBy("observable", "category").agg(
+        F.count("*").alias("bins"), F.sum("n").alias("n")
+    )
 
 
 # -- moments and closure -----------------------------------------------------------
@@ -202,7 +211,7 @@ _M = [f"w*f{a}" for a in range(1, 5)]
 @query(
     "A17_A21_moments_and_covariance",
     _R + ", cx as (select 'all' as selection, * from f union all select 'selected', * from f where sel) select selection, count(*) as total, count(*) as kept, "
-    + ", ".join([d("sum(w)", "s0", 3)] + [d(f"sum({m})", f"s{a}", 3) for a, m in enumerate(_M, 1)] + [d("sum(w*w)", "v00", 2)]
+    + ", ".join([d("sum(w)", "s0", 3)] + [d(f"sum({m})", f"s{a}", 3) for a, m in enumerate(_M, 1)] + [d("sum(w*w)", "v00", 4)]
                 + [d(f"sum(w*{m})", f"v0{a}", 2) for a, m in enumerate(_M, 1)]
                 + [d(f"sum({_M[a - 1]}*{_M[b - 1]})", f"v{a}{b}", 2) for a in range(1, 5) for b in range(a, 5)]) + " from cx group by selection",
 )
@@ -210,7 +219,7 @@ def moments_and_covariance(spark, sf):
     m = closure.moments(_acc(spark, sf), levels=("lhe",))
     return m.selectExpr(
         "selection", "total", "kept", *[r(f"s{a}", f"s{a}", 3) for a in range(5)],
-        *[r(f"v{a}{b}", f"v{a}{b}", 2) for a in range(5) for b in range(a, 5)],
+        *[r(f"v{a}{b}", f"v{a}{b}", 2 if b else 4) for a in range(5) for b in range(a, 5)],
     )
 
 
@@ -232,7 +241,7 @@ def normalized_coefficients(spark, sf):
 def _proj_sql(name: str, x: str, lo: float, hi: float, n: int = 24) -> str:
     return (
         f"select '{name}' as projection, {_bin_sql(x, lo, hi, n)} as bin, count(*) as n, " + d("sum(w)", "nominal", 4) + ", "
-        + d("sum(w*w)", "nominal_variance", 3) + ", " + d("sum(w*w*f1)", "x1", 2) + " from f group by 2"
+        + d("sum(w*w)", "nominal_variance", 4) + ", " + d("sum(w*w*f1)", "x1", 2) + " from f group by 2"
     )
 
 
@@ -244,14 +253,14 @@ _PI = 3.141592653589793
     _R + " " + " union all ".join([
         _proj_sql("theta1", "t1", 0.0, _PI), _proj_sql("phi2", wrap_sql("p2"), -_PI, _PI), _proj_sql("cos_theta2", "c2", -1.0, 1.0),
         f"select 'cos_theta1_vs_cos_theta2', {_bin_sql('c1', -1.0, 1.0, 12)}*12 + {_bin_sql('c2', -1.0, 1.0, 12)} as bin, count(*), "
-        + d("sum(w)", "nominal", 4) + ", " + d("sum(w*w)", "nominal_variance", 3) + ", " + d("sum(w*w*f1)", "x1", 2) + " from f group by 2",
+        + d("sum(w)", "nominal", 4) + ", " + d("sum(w*w)", "nominal_variance", 4) + ", " + d("sum(w*w*f1)", "x1", 2) + " from f group by 2",
     ]),
 )
 def binned_cross_covariance(spark, sf):
     names = ("theta1", "phi2", "cos_theta2", closure.MAP)
     b = closure.bins(_acc(spark, sf, projections=names), projections=names, levels=("lhe",))
     return b.where("selection = 'all' and n > 0").selectExpr(
-        "projection", "bigint(bin) as bin", "n", r("nominal", "nominal", 4), r("nominal_variance", "nominal_variance", 3), r("x1", "x1", 2)
+        "projection", "bigint(bin) as bin", "n", r("nominal", "nominal", 4), r("nominal_variance", "nominal_variance", 4), r("x1", "x1", 2)
     )
 
 
