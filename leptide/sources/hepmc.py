@@ -13,7 +13,7 @@ from ..functions.text import fields, fortran_double
 
 _START = "HepMC::IO_GenEvent-START_EVENT_LISTING"
 _END = "HepMC::IO_GenEvent-END_EVENT_LISTING"
-FIRST_LINE = "split_part(record, '\\n', 1)"
+FIRST_LINE = "translate(split_part(record, '\\n', 1), '\\t\\r', '  ')"
 
 
 def read_hepmc(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
