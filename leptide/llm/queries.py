@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, rule_classifier, sharding, token_count, url_filter
+from . import bpe, near_dup, perplexity, rule_classifier, sharding, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,17 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "n_rules", F.round("confidence", 6).alias("confidence"))
 
 
+@query("op4_minhash_near_dup")
+def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of two-word shingle sets with a similarity of 0.8 or more."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query("op5_perplexity_rules")
+def op5_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.perplexity_rules(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
