@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, perplexity, rule_classifier, sharding, token_count, url_filter
+from . import bpe, decontaminate, line_dedup, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,27 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "n_rules", F.round("confidence", 6).alias("confidence"))
 
 
+@query("op3_spaced_seeds")
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item: a row for each document and item."""
+    out = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", F.col("score").cast("long").alias("score"), F.col("matched").cast("long").alias("matched"))
+
+
+@query("op6_line_chunks", line_dedup.SQL)
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks of lines that occurred before."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.sanitise(table(spark, sf_dir, "documents"), with_text=False)
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    digest = F.sha2(pii.span_list(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return out.select("doc_id", *[n(k) for k in pii.KINDS], digest, pii.span_list(F.col("spans")).alias("spans"))
+
+
 @query("op4_minhash_near_dup")
 def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of two-word shingle sets with a similarity of 0.8 or more."""
