@@ -62,7 +62,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     table gives no rows. What is left of a text keeps its order and line
     breaks. Other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    return rebuild(docs.select("doc_id", "text"), removed_chunks(docs)).select("doc_id", "n_chunks", "n_removed", "text")
+
+
+def removed_chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, places): which chunks of which documents occurred before."""
     cut = docs.select("doc_id", F.posexplode(chunks(F.col("text"))).alias("place", "c")).where("c.removable").select(
         "doc_id", "place", F.md5(F.col("c.text").cast("binary")).alias("key"), F.col("c.text").alias("chunk")
     )
@@ -73,19 +77,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     found = saved(cut.join(repeated, "key").withColumn("stays", F.col("first").eqNullSafe(F.struct("doc_id", "place"))).drop("first"), "occurrences")
     again, kept = found.where("not stays"), found.where("stays").select(F.col("key").alias("key_"), F.col("chunk").alias("chunk_"))
     gone = again.join(kept, (F.col("key") == F.col("key_")) & (F.col("chunk") == F.col("chunk_")), "left_semi")
-    gone = saved(gone.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "removed")
-    return rebuild(docs, gone)
+    return saved(gone.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "removed")
 
 
 def rebuild(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Texts without the chunks at the places that `gone` (doc_id, places) lists."""
+    """Texts without the chunks at the places that `gone` (doc_id, places) lists.
+
+    Columns: row (all of the input's), doc_id, text, n_chunks, n_removed.
+    """
     g = gone.select(F.col("doc_id").alias("gone_id"), F.col("places").alias("gone_places"))
-    out = docs.join(g, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("doc_id", "text", "gone_places", chunks(F.col("text")).alias("chunks"))
+    rows = docs.select(F.struct("*").alias("row"))
+    out = rows.join(g, F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "gone_places", chunks(F.col("row.text")).alias("chunks"))
     left = F.filter("chunks", lambda c, i: ~F.array_contains("gone_places", i))
-    text = F.when(F.col("gone_places").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda c: c["text"]), "\n"))
-    return out.select(
-        "doc_id", F.size("chunks").cast("long").alias("n_chunks"), F.coalesce(F.size("gone_places"), F.lit(0)).cast("long").alias("n_removed"), text.alias("text")
-    )
+    text = F.when(F.col("gone_places").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda c: c["text"]), "\n"))
+    n_removed = F.when(F.col("gone_places").isNull(), 0).otherwise(F.size("gone_places"))
+    return out.select("row", "row.doc_id", text.alias("text"), F.size("chunks").cast("long").alias("n_chunks"), n_removed.cast("long").alias("n_removed"))
 
 
 #: The same in another engine's SQL, line by line with window functions.

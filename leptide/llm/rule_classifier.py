@@ -147,10 +147,15 @@ def fit_rules(
     return RuleModel(float(fitted.intercept), [(w, r) for w, r in zip(weights, rules) if w != 0.0])
 
 
+def score(model: RuleModel, text: Column) -> Column:
+    """Probability of label 1 as one expression; the one-element array has the statistics computed once."""
+    return F.get(F.transform(F.array(stats_struct(text)), lambda s: score_from(model, {k: s[k] for k in statistics(text)})), F.lit(0))
+
+
 def score_documents(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """(doc_id, score, predicted) for every row: null and empty texts score as empty ones; repeated rows stay."""
-    return (
-        docs.select("doc_id", stats_struct(F.col("text")).alias("stats"))
-        .select("doc_id", score_from(model, {k: F.col(f"stats.{k}") for k in statistics(F.lit(""))}).alias("score"))
-        .select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
-    )
+    """(doc_id, score, predicted) for every row: null and empty texts score as empty ones; repeated rows stay.
+
+    An empty table gives no rows. Other columns are ignored.
+    """
+    scored = docs.select("doc_id", score(model, F.col("text")).alias("score"))
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
