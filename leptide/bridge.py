@@ -72,17 +72,7 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def event_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge view as a DataFrame (column `lhe_topology_valid` added)."""
     narrow = tables(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return from_events(spark, spread(narrow))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a small input that arrives in few partitions.
-
-    The derivations cost far more per row than moving three columns. Inputs
-    with enough partitions, as all large ones, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return from_events(spark, narrow)
 
 
 def from_events(spark: SparkSession, events: DataFrame) -> DataFrame:

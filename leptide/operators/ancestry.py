@@ -54,9 +54,12 @@ def mother_links(particles: DataFrame) -> DataFrame:
 def spread_down(links: DataFrame, seeds: DataFrame, keys: Sequence[str] = KEY, max_rounds: int = 10_000) -> DataFrame:
     """Least fixpoint: seeds plus every child of a flagged mother along `links`.
 
-    `links` has (keys[:-1]..., mother, child), `seeds` has `keys`.
+    `links` has (keys[:-1]..., mother, child), `seeds` has `keys`. The links are
+    cut from their lineage once, so a round reads them and joins; there are as
+    many rounds as generations. Beyond max_rounds it raises, it drops nothing.
     """
     group = list(keys[:-1])
+    links = cut(links)
     reached = frontier = cut(seeds.select(*keys).distinct())
     for _ in range(max_rounds):
         if frontier.isEmpty():
@@ -89,10 +92,10 @@ def boson_descendants(
     """
     lines = ", ".join(str(int(f)) for f in flavors)
     source = f"({is_boson('mother_pid')} or (abs(mother_pid) = 22 and mother_mass > {num(min_photon_mass)}))"
-    by_flavor = links.selectExpr("*", f"explode(array({lines})) as flavor")
+    own = lambda pid: f"(abs({pid}) = flavor{f' or abs({pid}) = 15' if allow_tau else ''})"
+    by_flavor = links.selectExpr("*", f"explode(array({lines})) as flavor").where(own("child_pid"))
     seeds = by_flavor.where(source).selectExpr("event_id", "flavor", "child as idx")
-    tau = " or abs(mother_pid) = 15" if allow_tau else ""
-    passable = by_flavor.where(f"abs(mother_pid) = flavor{tau}").select("event_id", "flavor", "mother", "child")
+    passable = by_flavor.where(own("mother_pid")).select("event_id", "flavor", "mother", "child")
     return spread_down(passable, seeds, ("event_id", "flavor", "idx"))
 
 
@@ -103,7 +106,7 @@ def hard_process_descendants(particles: DataFrame, links: DataFrame) -> DataFram
         F.expr("count_if(mother_pid = 21 and mother_status = 21) as gluons"),
     )
     seeds = (
-        particles.where("status in (1, 23)")
+        particles.where("status in (1, 23) and abs(pid) in (11, 13)")
         .select("event_id", F.col("idx").alias("child"))
         .join(pairs.where("mothers = 2 and gluons = 2"), ["event_id", "child"], "left_semi")
         .withColumnRenamed("child", "idx")

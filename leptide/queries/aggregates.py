@@ -244,7 +244,7 @@ def composed_events(spark, sf):
 )
 def id_digest(spark, sf):
     return identity.sequence_digest_groups(
-        events(spark, sf), keys=["job_id"], value="source_event_id", limit=100_000
+        events(spark, sf), keys=["job_id"], value="source_event_id"
     ).select("job_id", "n", "sequence_sha256")
 
 

@@ -200,7 +200,7 @@ def decay_angles(spark, sf):
     "P13_P14_standard_angles",
     G + " select i, " + ", ".join([
         d("cstar", "cos_theta_star"), d("abs(cstar)", "abs_cos_theta_star"), d("acos(0e0-c1)", "theta1_standard"),
-        d("acos(0e0-c2)", "theta2_standard"), d(wrap_sql("p1+p2"), "Phi_standard"), d("0e0-p1", "Phi1_standard"),
+        d("acos(0e0-c2)", "theta2_standard"), d(wrap_sql("p1+p2"), "Phi_standard"), d("case when abs(p1) >= 3.141592653589793e0 then 3.141592653589793e0 else 0e0-p1 end", "Phi1_standard"),
         d(wrap_sql(f"{wrap_sql('p1+p2')}/2e0 - p1"), "Psi_standard"), d("m1", "m_Z1"), d("m4", "m_ZZ"),
     ]) + " from g",
 )

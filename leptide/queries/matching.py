@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import bridge
 from ..operators import ancestry, dressing, matching, ordering
 from ..operators.histograms import edge_bin, uniform_bin
-from . import d, events, query, r
+from . import d, events, query, r, wrap_sql
 
 EV = f"with ev as ({bridge.event_view_sql('events')})"
 _THIN = "select job_id, source_event_id, case when i % 23 = 0 then w + 1e0 else w end as weight_right, i as right_ordinal from {t} where i % 10 <> 0"
@@ -111,7 +111,7 @@ def stage_metadata(spark, sf):
 @query(
     "J08_W06_nearest_lepton",
     "with p as (select vec_id, cast(label as bigint) as event_id, cast(embedding[1] as double)*8e0 as eta, cast(embedding[2] as double)*8e0 as phi from embeddings), "
-    "c as (select g.event_id, g.vec_id as photon_id, l.vec_id as lepton_id, sqrt((l.eta-g.eta)*(l.eta-g.eta)+(l.phi-g.phi)*(l.phi-g.phi)) as dr "
+    "c as (select g.event_id, g.vec_id as photon_id, l.vec_id as lepton_id, sqrt((l.eta-g.eta)*(l.eta-g.eta)+pow(" + wrap_sql("l.phi-g.phi") + ", 2)) as dr "
     "from p g join p l on g.event_id = l.event_id and g.vec_id % 3 = 0 and l.vec_id % 3 <> 0), "
     "b as (select *, row_number() over (partition by photon_id order by dr, lepton_id) as k from c where dr < 0.4e0) "
     "select event_id, photon_id, lepton_id, " + d("dr", "delta_r") + " from b where k = 1",
@@ -129,13 +129,13 @@ def nearest_lepton(spark, sf):
 
 @query(
     "J08_photon_dressing",
-    EV + " select i, " + d("lhe_raw_muon_minus_px*(1e0 + case when i % 2 = 0 then 0.25e0 else 0e0 end)", "mm_px") + ", "
-    + d("lhe_raw_electron_plus_E", "ep_e") + ", cast(case when i % 2 = 0 then 1 else 0 end as bigint) as mm_photons from ev "
-    "where lhe_raw_muon_minus_px*lhe_raw_muon_minus_px + lhe_raw_muon_minus_py*lhe_raw_muon_minus_py > 1e0",
+    EV + ", p as (select *, i % 2 = 0 and 0.25e0*sqrt(lhe_raw_muon_minus_px*lhe_raw_muon_minus_px + lhe_raw_muon_minus_py*lhe_raw_muon_minus_py) > 0.1e0 as radiates from ev) "
+    "select i, " + d("lhe_raw_muon_minus_px*(1e0 + case when radiates then 0.25e0 else 0e0 end)", "mm_px") + ", "
+    + d("lhe_raw_electron_plus_E", "ep_e") + ", cast(case when radiates then 1 else 0 end as bigint) as mm_photons from p",
 )
 def photon_dressing(spark, sf):
-    """Even events radiate a quarter of the mu- momentum exactly along it."""
-    ev = events(spark, sf).where("lhe_raw_muon_minus_px*lhe_raw_muon_minus_px + lhe_raw_muon_minus_py*lhe_raw_muon_minus_py > 1D")
+    """Even events radiate a quarter of the mu- momentum exactly along it; below the threshold it isn't added."""
+    ev = events(spark, sf)
     names = ("px", "py", "pz", "E")
     item = lambda k, n: f"named_struct('lepton_id', {n}, " + ", ".join(
         f"'{c.lower()}', lhe_raw_{k}_{c}" for c in names) + ")"
@@ -250,8 +250,8 @@ def hadron_ancestry(spark, sf):
 
 @query(
     "G02_boson_ancestry",
-    _LINKS + ", fl as (select 11 as flavor union all select 13), f as (select event_id, flavor, child as idx from l, fl where mpid in (23, -23, 24, -24) union "
-    "select l.event_id, f.flavor, l.child from l join f on l.event_id = f.event_id and l.mother = f.idx where abs(mpid) = f.flavor) "
+    _LINKS + ", fl as (select 11 as flavor union all select 13), f as (select event_id, flavor, child as idx from l, fl where mpid in (23, -23, 24, -24) and abs(cpid) = flavor union "
+    "select l.event_id, f.flavor, l.child from l join f on l.event_id = f.event_id and l.mother = f.idx where abs(mpid) = f.flavor and abs(cpid) = f.flavor) "
     "select distinct event_id, flavor, idx from f",
 )
 def boson_ancestry(spark, sf):
@@ -260,7 +260,7 @@ def boson_ancestry(spark, sf):
 
 @query(
     "G03_hard_process_ancestry",
-    _LINKS + ", s as (select l.event_id, l.child as idx from l join p on p.event_id = l.event_id and p.idx = l.child and p.status in (1, 23) "
+    _LINKS + ", s as (select l.event_id, l.child as idx from l join p on p.event_id = l.event_id and p.idx = l.child and p.status in (1, 23) and abs(p.pid) in (11, 13) "
     "group by 1, 2 having count(distinct l.mother) = 2 and count(*) filter (where mpid = 21 and mstatus = 21) = 2), "
     "f as (select event_id, idx from s union select l.event_id, l.child from l join f on l.event_id = f.event_id and l.mother = f.idx where mpid = cpid) "
     "select distinct event_id, idx from f",

@@ -125,7 +125,8 @@ def hepmc_listing(spark, sf):
 
 @query(
     "S06_Q21_detector_leaves",
-    EV + " select i, source_event_id, cast(case when i % 3 = 0 then 1 else 2 end as bigint) as n_electrons, "
+    EV + " select i, case when w <> 0 then source_event_id end as source_event_id, case when w = 0 then 'zero unit marker' end as id_fault, "
+    "cast(case when i % 3 = 0 then 1 else 2 end as bigint) as n_electrons, "
     + d("lhe_raw_muon_minus_px", "mm_px") + ", cast(case when i % 31 = 0 then 1 else 0 end as bigint) as bad_leaves from ev",
 )
 def detector_leaves(spark, sf):
@@ -143,12 +144,12 @@ def detector_leaves(spark, sf):
     ]
     for name, q in (("RecoElectron", "array(-1, 1)"), ("RecoMuon", "array(-1, 1)")):
         cols += [f"array(10D, 11D) as `{name}.PT`", f"array(0.5D, -0.5D) as `{name}.Eta`", f"array(1D, 2D) as `{name}.Phi`", f"{q} as `{name}.Charge`"]
-    flat = events(spark, sf).where("w <> 0").selectExpr("job_id", "i", *cols)
+    flat = events(spark, sf).selectExpr("job_id", "i", *cols)
     nested, bad = detector.assemble_leaves(flat, keep=("job_id", "i"))
     bad_ids = bad.selectExpr("bigint(split_part(subject, '/', 2)) as i").groupBy("i").agg(F.count("*").alias("bad"))
     out = detector.with_source_ids(nested, 1, 2).join(bad_ids, "i", "left")
     return out.selectExpr(
-        "i", "source_event_id", "bigint(size(dressed_electron)) as n_electrons", r("dressed_muon[0].px", "mm_px"),
+        "i", "source_event_id", "id_fault", "bigint(size(dressed_electron)) as n_electrons", r("dressed_muon[0].px", "mm_px"),
         "coalesce(bad, 0) as bad_leaves",
     )
 

@@ -34,7 +34,8 @@ def publish(
     """Write the tables to a private sibling, verify what was written, rename.
 
     Nothing appears at `target` before every rule passes on the tables as read
-    back. An existing target is kept unless `overwrite` is set.
+    back. An existing target is kept unless `overwrite` is set; then it is moved
+    aside first and removed only after the new one stands.
     """
     target = target.rstrip("/")
     if exists(spark, target) and not overwrite:
@@ -49,12 +50,18 @@ def publish(
             enforce(verify(written))
         if success_marker:
             fs.create(Path(f"{staging}/{success_marker}")).close()
-        if exists(spark, target):
-            if not overwrite:
-                raise FileExistsError(f"output appeared meanwhile: {target}")
-            fs.delete(Path(target), True)
+        aside = f"{target}.replaced-{uuid.uuid4().hex}"
+        replaces = exists(spark, target)
+        if replaces and not overwrite:
+            raise FileExistsError(f"output appeared meanwhile: {target}")
+        if replaces and not fs.rename(Path(target), Path(aside)):
+            raise OSError(f"could not move the old {target} aside")
         if not fs.rename(Path(staging), Path(target)):
+            if replaces:
+                fs.rename(Path(aside), Path(target))
             raise OSError(f"could not publish {target}")
+        if replaces:
+            fs.delete(Path(aside), True)
     except BaseException:
         fs.delete(Path(staging), True)
         raise

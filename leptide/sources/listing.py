@@ -18,7 +18,11 @@ SUCCESS_MARKER = "SUCCESS"
 def read_records(
     spark: SparkSession, paths: str | Sequence[str], separator: str
 ) -> DataFrame:
-    """Rows (file, chunk, record): chunk counts the pieces of a file from 0."""
+    """Rows (file, chunk, last_chunk, record): chunk counts the pieces of a file from 0.
+
+    A light scan counts the pieces of each split; that table, a row a split,
+    joins the text where it is read.
+    """
     raw = (
         spark.read.option("lineSep", separator)
         .text(paths)
@@ -29,18 +33,17 @@ def read_records(
             F.col("value").alias("record"),
         )
     )
-    counts = raw.groupBy("file", "_start").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("file").orderBy("_start").rowsBetween(
-        Window.unboundedPreceding, -1
+    # ids run in order inside a split: the position is the distance from the split's first id
+    splits = raw.groupBy("file", "_start").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+    whole = Window.partitionBy("file").orderBy("_start")
+    placed = splits.select(
+        "file", "_start", "_first",
+        F.coalesce(F.sum("_n").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        (F.sum("_n").over(Window.partitionBy("file")) - 1).alias("last_chunk"),
     )
-    offsets = counts.select(
-        "file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy("file", "_start").orderBy("_seq")
-    return (
-        raw.withColumn("_at", F.row_number().over(inside) - 1)
-        .join(offsets, ["file", "_start"])
-        .select("file", (F.col("_before") + F.col("_at")).alias("chunk"), "record")
+    # a row a split: under a millionth of the text, so it is sent to where the text is read
+    return raw.join(F.broadcast(placed), ["file", "_start"]).select(
+        "file", (F.col("_before") + F.col("_seq") - F.col("_first")).alias("chunk"), "last_chunk", "record"
     )
 
 

@@ -115,8 +115,19 @@ def test_uid_and_sequence_digest(spark):
     raw = hashlib.blake2b(b"tag\0" + (7).to_bytes(8, "big") + b"\x01" + (3).to_bytes(4, "big") + (5).to_bytes(8, "big"), digest_size=16).digest()
     assert int(row.event_uid_hi) == int.from_bytes(raw[:8], "big") and int(row.event_uid_lo) == int.from_bytes(raw[8:], "big")
     want = hashlib.sha256(b"".join(i.to_bytes(8, "big") for i in (2, 5, 9))).hexdigest()
-    assert sequence_digest_groups(df, keys=["job_id"], value="source_event_id", limit=10).first().sequence_sha256 == want
-    assert sequence_digest_groups(df, keys=["job_id"], value="source_event_id", limit=2).first().fault == "too large"
+    assert sequence_digest_groups(df, keys=["job_id"], value="source_event_id").first().sequence_sha256 == want
+
+
+def test_sequence_digest_of_a_long_group(spark):
+    """A group of many batches among small ones gets the digest of its whole sequence."""
+    n = 200_000
+    df = spark.range(n).selectExpr("bigint(1) as job_id", "id * 7 % 1000003 as x").unionByName(
+        spark.range(40).selectExpr("2 + id % 5 as job_id", "if(id = 7, null, id) as x")
+    )
+    got = {r.job_id: (r.n, r.sequence_sha256) for r in sequence_digest_groups(df, keys=["job_id"], value="x").collect()}
+    for job, ids in {1: sorted(i * 7 % 1000003 for i in range(n)), **{2 + k: [i for i in range(k, 40, 5) if i != 7] for k in range(5)}}.items():
+        want = hashlib.sha256(b"".join(i.to_bytes(8, "big") for i in ids)).hexdigest()
+        assert got[job] == (len(ids) + (job == 4), want)
 
 
 def test_decode_faults(spark):
@@ -158,7 +169,7 @@ def _brute(particles, flavor):
                 break
             if not (abs(at[i][2]) <= 6 or abs(at[i][2]) == 21):
                 todo += mothers(at[i])
-        seen, todo = set(), mothers(p)
+        seen, todo = set(), mothers(p) if abs(p[2]) == flavor else []  # lines of that flavour only
         while todo:
             i = todo.pop()
             if i in seen:
@@ -169,7 +180,7 @@ def _brute(particles, flavor):
                 break
             if abs(at[i][2]) == flavor:
                 todo += mothers(at[i])
-        seen, todo = set(), [p[1]]
+        seen, todo = set(), [p[1]] if abs(p[2]) in (11, 13) else []  # charged leptons only
         while todo:
             i = todo.pop()
             if i in seen or at[i][2] != p[2]:
@@ -225,3 +236,26 @@ def test_scratch_path_uses_the_shared_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and spark.sparkContext.getCheckpointDir() in a
     assert F is not None
+
+
+def test_markers_are_inserted_once(spark):
+    """A closing tag repeated in a comment gets nothing; blocks are made where there are none."""
+    texts = ["<header>\n<initrwgt>\n</initrwgt>\n</header>\n<!-- </initrwgt> </header> -->", "<header>\n</header>\n<!-- </header> -->"]
+    df = spark.createDataFrame([(t,) for t in texts], "preamble string")
+    for row in df.selectExpr(f"{lhe.tag_preamble()} as t").collect():
+        assert row.t.count("<weightgroup") == 1 and row.t.count("<initrwgt>") == 1 and row.t.index("</weightgroup>") < row.t.index("</initrwgt>")
+    with pytest.raises(Exception, match="neither"):
+        spark.sql(f"select {lhe.tag_preamble()} from (select 'no block' as preamble)").collect()
+
+
+def test_records_are_numbered_without_moving_the_text(spark, tmp_path):
+    path = write(tmp_path / "many", "a.txt", "|".join(f"r{i}" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        df = listing.read_records(spark, path, "|")
+        rows = sorted((r.chunk, r.record, r.last_chunk) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == [(i, f"r{i}", 4999) for i in range(5000)]
+    assert not any("record" in line for line in plan.splitlines() if "Exchange" in line)

@@ -96,6 +96,14 @@ def test_exact_sums_do_not_depend_on_order(spark):
     got = {moments.exact_sums(df.repartition(n).selectExpr("1 as k", "x"), keys=["k"], columns=["x"]).first().x for n in (1, 3, 11)}
     assert len(got) == 1
     assert got.pop() == pytest.approx(math.fsum(values), rel=1e-15)
+    wide = [1.0, 1e15, 3e-7, -1e300, 1e300, 5.0]
+    big = spark.createDataFrame([(k, v) for k in range(2) for v in wide[: 3 + 3 * k]], "k int, x double")
+    sums = {r.k: r.x for r in moments.exact_sums(big, keys=["k"], columns=["x"]).collect()}
+    assert sums[0] == pytest.approx(1e15 + 1, abs=1e260) and sums[1] is not None  # one grid serves the column
+    small = moments.exact_sums(big.where("k = 0"), keys=["k"], columns=["x"]).first().x
+    assert small == math.fsum(wide[:3])
+    tiny = spark.createDataFrame([(1, 1e-305), (1, 2e-305), (1, 0.0)], "k int, x double")
+    assert moments.exact_sums(tiny, keys=["k"], columns=["x"]).first().x == pytest.approx(3e-305)
     bad = df.unionByName(spark.createDataFrame([(math.nan,)], "x double"))
     assert moments.exact_sums(bad.selectExpr("1 as k", "x"), keys=["k"], columns=["x"]).first().x is None
 
