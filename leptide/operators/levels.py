@@ -64,11 +64,18 @@ from ..functions.vectors import (
 PROJECTION_TOLERANCE = 2.0e-10
 FRAME_TOLERANCE = 1.0e-12
 UNIT_TOLERANCE = 1.0e-14
-# Always true, but not deterministic: a filter on a derived column then stays
-# above the derivation. Pushed down, it would be rewritten in terms of the raw
-# momenta, and that expression grows with every step it passes. Filters on
-# input columns belong before the derivation.
-BARRIER = "spark_partition_id() >= 0"
+
+
+def behind_generator(df: DataFrame, name: str) -> DataFrame:
+    """The same columns, `name` passed through a generator of one row.
+
+    A filter that depends on the column, as those on derived values do, then
+    stays above: pushed down, it would be rewritten in terms of the raw
+    momenta, and that expression grows with every step it passes. Filters on
+    the other columns go through to the scan.
+    """
+    rows = df.selectExpr(*[f"`{c}`" for c in df.columns if c != name], f"inline(array(named_struct('{name}', `{name}`)))")
+    return rows.select(*[f"`{c}`" for c in df.columns])
 
 
 # --------------------------------------------------------------------------
@@ -376,8 +383,8 @@ def derive_level(
         ]
     for length in ("qn", "wn", "an", "bn"):
         ok += [above(f"{t}{length}", UNIT_TOLERANCE), is_finite(f"{t}{length}")]
-    ok.append(BARRIER)
     step({"ok": " and ".join(ok)}, forget=["timelike", "X_E", "qn", "wn", "an", "bn", "n1n", "n2n", "pn"])
+    df = behind_generator(df, f"{t}ok")
 
     # the record
     values = {
