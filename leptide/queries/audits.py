@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from .. import bridge
 from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS, HARMONIC_SLUGS
+from ..fingerprint_paths import OPTIONAL_PATHS, REQUIRED_PATHS
 from ..functions import identity
 from ..operators import audit, levels
 from ..plans import compose_channels, merge_campaign
-from . import events, query
-from .aggregates import JOBS, job_moments, labelled, merged_totals
+from . import d, events, query, r
+from .aggregates import JOBS, POOL, job_moments, labelled, merged_totals
 from .derivations import V
 
 EV = f"with ev as ({bridge.event_view_sql('events')})"
@@ -72,7 +73,9 @@ def run_summary_recomputed(spark, sf):
 
 @query(
     "Q05_nominal_closure",
-    "select true as closes, true as resolved",
+    POOL + ", x as (select sum(w * (sa/n)/sa) as got, sum(abs(w)) as size from lab cross join pool where label = 'accepted') select "
+    + d("got", "nominal_sum", 4) + ", " + d("sa/n", "filtered", 4)
+    + ", abs(got - sa/n) <= 1e-9*greatest(abs(sa/n), 1e-12) as closes, abs(sa) > 1e-12*aa as resolved from x cross join pool",
 )
 def nominal_closure(spark, sf):
     totals = merged_totals(spark, sf)
@@ -81,6 +84,7 @@ def nominal_closure(spark, sf):
     got = kept.withColumn("n", F.col("weight_lhe") * scale).agg(F.sum("n").alias("s"))
     tol = audit.nominal_tolerance("filtered_cross_section_pb", "merged_weight_scale", "retained_raw_sumabsw_pb")
     return totals.withColumn("got", got.scalar()).selectExpr(
+        r("got", "nominal_sum", 4), r("filtered_cross_section_pb", "filtered", 4),
         f"abs(got - filtered_cross_section_pb) <= {tol} as closes",
         "abs(retained_raw_sumw_pb) > 1e-12D * retained_raw_sumabsw_pb as resolved",
     )
@@ -116,14 +120,32 @@ def signed_sum(spark, sf):
 
 @query(
     "Q08_physics_fingerprint",
-    "select rule, n from (select 'fingerprint.differs' as rule, 1 as n union all select 'fingerprint.missing', 0) t where n > 0",
+    "with j as (select event_id, event_type, user_id % 3 as u, value > 5e1 as hot from events), n as (select "
+    "count(distinct event_type) as types, count(distinct hot) as shapes, count(*) filter (where u = 0) as lost, min(u) as lo, max(u) as hi from j) "
+    f"select rule, k::bigint as n from (select 'fingerprint.missing' as rule, lost as k from n union all select 'fingerprint.differs', "
+    "(types > 1)::int + (lo <> hi and lo = 0)::int + (shapes > 1)::int from n) t where k > 0",
 )
 def physics_fingerprint(spark, sf):
-    docs = bridge.tables(spark, sf, "events").selectExpr(
-        "event_id as job_id",
-        "concat('{\"sample\":\"gg4l\",\"provenance\":{\"run\":7', if(event_id % 2 = 0, ',\"extra\":null', ''), '}}') as document",
-    )
-    _, found = audit.fingerprint(docs, ["sample", "provenance.run"], ["provenance.extra", "provenance.never"])
+    """The whole path lists over a document per event row: one path varies, one is missing at times, an optional one comes and goes."""
+    paths = {p: "'1'" for p in (*REQUIRED_PATHS, *OPTIONAL_PATHS)}
+    paths["sample"] = "event_type"
+    lost, optional = "provenance.generation.run_number", OPTIONAL_PATHS[0]
+    tree: dict = {}
+    for path in paths:
+        *up, leaf = path.split(".")
+        node = tree
+        for k in up:
+            node = node.setdefault(k, {})
+        node[leaf] = path
+
+    def text(node) -> str:
+        if isinstance(node, str):
+            whole = f"string({paths[node]})"
+            return f"if(user_id % 3 = 0, null, {whole})" if node == lost else f"if(value > 50D, null, {whole})" if node == optional else whole
+        return "named_struct(" + ", ".join(f"'{k}', {text(v)}" for k, v in node.items()) + ")"
+
+    docs = bridge.tables(spark, sf, "events").selectExpr("event_id as job_id", f"to_json({text(tree)}) as document")
+    _, found = audit.fingerprint(docs, REQUIRED_PATHS, OPTIONAL_PATHS)
     return per_rule(found)
 
 
@@ -188,28 +210,37 @@ def truth_weights(spark, sf):
 
 @query(
     "Q14_source_contracts",
-    "select rule, n from (values ('source.cards', 1), ('source.frame', 1), ('source.interference', 1)) t(rule, n)",
+    EV + ", c as (select channel_code, sum(case when w > 5e1 then 1 else 0 end) as busy, max(job_id) % 2 as odd, min(i) as seed from ev group by 1), "
+    "m as (select *, sum(busy) over () as total from c), f as (select 'source.frame' as rule, count(*) as n from m where busy * 4 > total "
+    "union all select 'source.interference', count(*) from m where odd = 1 and channel_code >= 2 "
+    "union all select 'source.cards', (count(distinct seed % 3) <> count(*))::int from m "
+    "union all select 'source.complete', (count(*) <> 4)::int from m) select rule, n::bigint as n from f where n > 0",
 )
 def source_contracts(spark, sf):
     """Four channel declarations built from the channels present in the events."""
-    ch = events(spark, sf).select("channel_code", "campaign_id").distinct().selectExpr(
-        "element_at(array('LL', 'TT', 'TL', 'LT'), int(channel_code) + 1) as channel", "campaign_id", "channel_code"
-    )
+    ch = events(spark, sf).groupBy("channel_code", "campaign_id").agg(
+        F.expr("count_if(w > 50D) as busy"), F.expr("max(job_id) % 2 as odd"), F.expr("min(i) as seed")
+    ).selectExpr(
+        "element_at(array('LL', 'TT', 'TL', 'LT'), int(channel_code) + 1) as channel", "campaign_id", "channel_code", "odd", "seed",
+        "busy * 4 > sum(busy) over (partition by campaign_id) as damaged",
+    )  # one row a channel
     md = ch.selectExpr(
-        "channel", "campaign_id", "channel_code + 10 as sample_code", "if(channel = 'TT', 'lab_frame', 'four_lepton_rest_frame') as frame",
-        "'mu+mu-' as z1_decay", "'e+e-' as z2_decay", "if(channel = 'TL', 'not_applicable', 'none') as interference", "'[3, 4, 5, 6]' as me_frame",
+        "channel", "campaign_id", "channel_code + 10 as sample_code", "if(damaged, 'lab_frame', 'four_lepton_rest_frame') as frame",
+        "'mu+mu-' as z1_decay", "'e+e-' as z2_decay", "if(odd = 1, 'not_applicable', 'none') as interference", "'[3, 4, 5, 6]' as me_frame",
         "'idwtup-minus4-sample-mean-v1' as normalization_contract", "-4 as idwtup",
-        "sha2(if(channel = 'LT', 'TL', channel), 256) as process_card_sha256", "'same' as common_fingerprint",
+        "sha2(string(seed % 3), 256) as process_card_sha256", "'same' as common_fingerprint",
     )
     return per_rule(compose_channels.source_contract(md))
 
 
 @query(
     "Q17_constant_columns",
-    "select rule, n from (values ('constant.event_type', 1), ('positive.signed', 1)) t(rule, n)",
+    "with c as (select count(distinct event_type) as types, count(distinct user_id // 1000000) as users, min(value) - 1e0 as lo, count(distinct value) as vals from events) "
+    "select rule, 1::bigint as n from (select 'constant.event_type' as rule, types > 1 as bad from c union all select 'constant.lumi', users > 1 from c "
+    "union all select 'constant.signed', vals > 1 from c union all select 'positive.signed', lo <= 0 from c) t where bad",
 )
 def constant_columns(spark, sf):
-    ev = bridge.tables(spark, sf, "events").selectExpr("event_type", "312000D as lumi", "-1D as signed")
+    ev = bridge.tables(spark, sf, "events").selectExpr("event_type", "312000D + user_id div 1000000 as lumi", "value - 1D as signed")
     return per_rule(audit.constant_rules(ev, ["event_type", "lumi", "signed"], positive=["lumi", "signed"]))
 
 

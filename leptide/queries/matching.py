@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bridge
-from ..operators import ancestry, dressing, matching, ordering
+from ..operators import ancestry, audit, dressing, matching, ordering
 from ..operators.histograms import edge_bin, uniform_bin
 from . import d, events, query, r, wrap_sql
 
@@ -75,6 +75,43 @@ def aligned_weights(spark, sf):
     )
 
 
+@query(
+    "Q09_alternative_weight_rules",
+    EV + " select rule, n from (select 'weights.missing' as rule, count(*) as n from ev where i % 10 = 0 union all "
+    "select 'weights.orphan', count(*) from ev where i % 14 = 3 and i % 10 <> 0 union all "
+    "select 'weights.unique', count(*) from ev where i % 22 = 5 and i % 10 <> 0 and i % 14 <> 3 union all "
+    "select 'weights.size', sum(case when i % 22 = 5 and i % 14 <> 3 then 2 else 1 end) from ev where i % 6 = 1 and i % 10 <> 0) t where n > 0",
+)
+def weight_rules(spark, sf):
+    """Weights lost, without event, twice, and of the wrong size, all counted by the rule itself."""
+    ev = events(spark, sf).selectExpr("campaign_id", "sample_code", "job_id", "source_event_id", "w", "i")
+    wt = ev.where("i % 10 <> 0").selectExpr(
+        "campaign_id", "sample_code", "job_id", "if(i % 14 = 3, -source_event_id, source_event_id) as source_event_id",
+        "if(i % 6 = 1, array(w), array(0.9D*w, 1.1D*w)) as values", "explode(sequence(1, if(i % 22 = 5 and i % 14 <> 3, 2, 1))) as copy",
+    ).drop("copy")
+    found = audit.aligned_weight_rules(ev.drop("i").withColumn("_", F.lit(0)).drop("_"), wt, 2)
+    # an orphan's event has no weights either: only what was never written counts as missing here
+    lost = F.expr("rule <> 'weights.missing' or (bigint(split_part(subject, '/', 2)) - 1) % 10 = 0")
+    return found.where(lost).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query(
+    "J02_match_ordinals",
+    EV + ", l as (select job_id, i, row_number() over (partition by job_id order by i) as k from ev), "
+    "g as (select l.*, case when job_id % 3 = 0 and i % 5 <> 0 then k + 1 else k end as k2 from l where i % 17 <> 0) "
+    "select rule, n from (select 'match.unmatched' as rule, count(*) as n from l where i % 17 = 0 union all select 'match.ordinal', count(*) from g where k <> k2) t where n > 0",
+)
+def match_ordinals(spark, sf):
+    """A stream with intact ids but shifted places is found by the ordinals."""
+    ev = events(spark, sf).select("job_id", "i", "source_event_id")
+    left = ordering.with_rank(ev, ["job_id"], "source_event_id", name="left_at").select("job_id", "source_event_id", "left_at")
+    right = ordering.with_rank(ev, ["job_id"], "source_event_id", name="at").where("i % 17 <> 0").selectExpr(
+        "job_id", "source_event_id", "if(job_id % 3 = 0 and i % 5 <> 0, at + 1, at) as right_at"
+    )
+    both = matching.match_streams(left, right, ["job_id", "source_event_id"])
+    return matching.match_findings(both, "left_at", "right_at", ["job_id", "source_event_id"]).groupBy("rule").agg(F.count("*").alias("n"))
+
+
 @query(
     "J04_J05_events_with_run_columns",
     EV + ", runs as (select job_id, sum(w) as sumw, count(*) as n from ev group by job_id) "
