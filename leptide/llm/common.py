@@ -94,7 +94,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     e = saved(e, "links")
-    state = None
     for _ in range(max_rounds):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -103,10 +102,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
         e = saved(small.where("a <> b").distinct(), "links")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))).first()
-        if now == state:
-            return e.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")).unionByName(
+        # done when all are stars: no node hangs on two, no centre hangs itself
+        roles = e.select(F.col("b").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            e.select(F.col("a").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+        )
+        if roles.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty():
+            return e.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
                 e.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
             )
-        state = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -4,13 +4,14 @@ A document is posted under each (coordinate, value) pair of its signature. Two
 documents that agree in at least `matches` of the `coordinates` share one of
 their `coordinates - matches + 1` rarest pairs, so only that prefix is kept,
 and pairs that occur once are skipped altogether. The number of collisions of
-two posted documents is bounded from above with a four-bit sketch of the
-signatures, in a column expression; what may reach `matches` is compared on
-whole sets. Copies share a set and are one node from the start.
-
-Big lists are first linked as chains: neighbours in a list are compared, not
-all pairs. What is then one component needs no further comparison; the exact
-rest, pairs of different components in one list, follows in a join.
+two posted documents is estimated with a one-bit sketch of more coordinates, in
+a column expression; what may reach the threshold is compared on whole sets.
+Copies share a set and are one node from the start.
+
+Big lists are first linked as chains: neighbours in a list, by set size, are
+compared, not all pairs. What is then one component needs no further
+comparison. Of pairs in different components the likeliest of each document
+and component come next, then the exact rest.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import components, mix, saved, shingles, word_hashes
 
 SKETCH = ("s0", "s1", "s2", "s3")
+BITS = 64 * len(SKETCH)
 
 
 def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
@@ -39,39 +41,42 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, *, width: int, coordinates: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, pairs, s0..s3); without words: 0 and nulls."""
+    """(doc_id, n_shingles, set_key, pairs, s0..s3); without words: 0 and nulls.
+
+    The first `coordinates` of BITS coordinates give the pairs, one bit of each the sketch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, coordinates + 1, dtype=np.uint64))
-        shift = np.tile(np.arange(0, 64, 4, dtype=np.uint64), 4)
         for batch in batches:
             n, keys, pairs, sketches = [], [], [], []
             for text in batch.column("text"):
                 s = shingles(word_hashes(text.as_py()), width)
                 n.append(len(s))
                 if not len(s):
-                    keys.append(None), pairs.append(None), sketches.append((None,) * 4)
+                    keys.append(None), pairs.append(None), sketches.append((None,) * len(SKETCH))
                     continue
-                p = mix(signature(s, coordinates) ^ salt)
-                bits = np.bitwise_or.reduce(((p[:64] & np.uint64(15)) << shift[: len(p[:64])]).reshape(4, -1), axis=1) if coordinates >= 64 else np.zeros(4, np.uint64)
+                low = signature(s, BITS)
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                pairs.append(p.view(np.int64))
-                sketches.append(tuple(bits.view(np.int64).tolist()))
+                pairs.append(mix(low[:coordinates] ^ salt).view(np.int64))
+                sketches.append(tuple(np.packbits(mix(low) & np.uint64(1) != 0).view(np.int64).tolist()))
             cols = {"doc_id": batch.column("doc_id"), "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(keys, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(cols | {c: pa.array([x[i] for x in sketches], pa.int64()) for i, c in enumerate(SKETCH)})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, pairs array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
-def collisions(a: str, b: str) -> Column:
-    """Upper bound of the agreeing coordinates among 64: equal groups of four bits."""
-    equal = F.lit(0)
-    for c in SKETCH:
-        x = f"({a}.{c} ^ {b}.{c})"
-        y = f"({x} | shiftright({x}, 1))"
-        y = f"({y} | shiftright({y}, 2))"
-        equal = equal + F.expr(f"16 - bit_count({y} & 1229782938247303441L)")  # the lowest bit of each group
-    return equal
+def agreeing(a: str, b: str) -> Column:
+    """How many of the BITS sketch bits agree."""
+    return F.expr(f"{BITS} - " + " - ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in SKETCH))
+
+
+def likely(a: str, b: str, percent: int) -> Column:
+    """May two sets reach the similarity? Sizes within it, and sketch bits within five standard deviations of it."""
+    rate = (1 + percent / 100) / 2
+    least = int(BITS * rate - 5 * (BITS * rate * (1 - rate)) ** 0.5)
+    sizes = F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)")
+    return sizes & (agreeing(a, b) >= least)
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int) -> DataFrame:
@@ -94,6 +99,24 @@ def confirm(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int) -> D
     return pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
+def across_components(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ca, cb, m): likely pairs of one list in different components, with their agreeing bits."""
+    rows = lists.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select("pair", "rep", "n", F.coalesce("component", "rep").alias("c"), *SKETCH)
+    rows = saved(rows, "placed")
+    mixed = saved(rows.groupBy("pair").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("pair"), "mixed")
+    rest = saved(rows.join(mixed, "pair", "left_semi"), "mixed-lists")
+    side = lambda name: rest.select("pair", F.struct("rep", "n", "c", *SKETCH).alias(name))
+    both = side("p").join(side("q"), "pair").where("p.rep < q.rep and p.c <> q.c").where(likely("p", "q", percent))
+    return both.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"), F.col("p.c").alias("ca"), F.col("q.c").alias("cb"), agreeing("p", "q").alias("m")).distinct()
+
+
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """Of each document's pairs with each other component, the one with the most agreeing bits."""
+    one = pairs.groupBy("a", "cb").agg(F.max(F.struct("m", "b")).alias("x")).select("a", "x.b")
+    two = pairs.groupBy("b", "ca").agg(F.max(F.struct("m", "a")).alias("x")).select("x.a", "b")
+    return one.unionByName(two).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coordinates: int = 64, matches: int = 36) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id long, text).
 
@@ -105,15 +128,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coord
     null component. An empty table
     gives no rows. Other columns are ignored. A pair at the very limit is
     missed with a chance of about 3 in a million (fewer than 36 of 64
-    coordinates agree); closer pairs far more rarely.
+    coordinates agree, or too few sketch bits); closer pairs far more rarely.
     """
-    if coordinates != 64:
-        raise ValueError("the sketch holds 64 coordinates")
     docs = docs.select("doc_id", "text")
     known = saved(describe(docs, width=width, coordinates=coordinates), "signatures")
     linked = known.where("n_shingles > 0 and doc_id is not null")
     classes = saved(linked.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = linked.select("doc_id", "pairs", *SKETCH).join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
+    reps = linked.select("doc_id", F.col("n_shingles").alias("n"), "pairs", *SKETCH).join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
     reps = saved(reps, "representatives")
 
     posts = reps.select("rep", F.explode("pairs").alias("pair"))
@@ -124,29 +145,28 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coord
         "single", coordinates - F.count("*").over(by_rep)
     )
     lists = lists.where(F.col("rank") + F.col("single") <= prefix).select("pair", "rep", "often")
-    lists = saved(lists.join(reps.select("rep", *SKETCH), "rep"), "lists")
+    lists = saved(lists.join(reps.select("rep", "n", *SKETCH), "rep"), "lists")
 
-    me = F.struct("rep", *SKETCH)
-    # parts of about the root of a list's length, chained inside and from part to part
+    me = F.struct("rep", "n", *SKETCH)
+    # parts of about the root of a list's length, chained inside by size and from part to part
     spread = lists.withColumn("turn", F.xxhash64("rep", F.col("pair") % 3)).withColumn("part", F.pmod("turn", F.ceil(F.sqrt("often"))))
-    inside = spread.select("rep", *SKETCH, F.lag(me).over(Window.partitionBy("pair", "part").orderBy("turn", "rep")).alias("p"))
-    heads = spread.groupBy("pair", "part").agg(F.min(F.struct("turn", "rep", *SKETCH)).alias("h")).select("pair", "part", "h.*")
-    across = heads.select("rep", *SKETCH, F.lag(me).over(Window.partitionBy("pair").orderBy("part")).alias("p"))
-    near = inside.unionByName(across).select(me.alias("q"), "p").where("p is not null and p.rep <> q.rep").where(collisions("p", "q") >= matches)
-    ends = (F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b"))
-    tried = saved(near.select(*ends).distinct(), "candidates")
+    inside = spread.select(me.alias("q"), F.lag(me).over(Window.partitionBy("pair", "part").orderBy("n", "turn", "rep")).alias("p"))
+    heads = spread.groupBy("pair", "part").agg(F.min(F.struct("turn", "rep", "n", *SKETCH)).alias("h")).select("pair", "part", "h.*")
+    across = heads.select(me.alias("q"), F.lag(me).over(Window.partitionBy("pair").orderBy("n", "part")).alias("p"))
+    near = inside.unionByName(across).where("p is not null and p.rep <> q.rep").where(likely("p", "q", percent))
+    tried = saved(near.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")).distinct(), "candidates")
     links = saved(confirm(tried, docs, width=width, percent=percent), "confirmed")
-    first = components(links)
-
-    placed = lists.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("c"), *SKETCH)
-    placed = saved(placed, "placed")
-    mixed = saved(placed.groupBy("pair").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("pair"), "mixed")
-    rest = placed.join(mixed, "pair", "left_semi")
-    x, y = rest.select("pair", F.struct("rep", "c", *SKETCH).alias("p")), rest.select("pair", F.struct("rep", "c", *SKETCH).alias("q"))
-    more = x.join(y, "pair").where("p.rep < q.rep and p.c <> q.c").where(collisions("p", "q") >= matches)
-    more = more.select(*ends).distinct().join(tried, ["a", "b"], "left_anti")
-    more = saved(confirm(saved(more, "candidates"), docs, width=width, percent=percent), "confirmed")
-    final = first if more.isEmpty() else components(links.unionByName(more))
+    final = components(links)
+
+    for choose in (likeliest, lambda pairs: pairs.select("a", "b")):
+        open_ = saved(across_components(lists, final, percent).join(tried, ["a", "b"], "left_anti"), "open")
+        if open_.isEmpty():
+            break
+        picked = saved(choose(open_), "candidates")
+        links = saved(confirm(picked, docs, width=width, percent=percent), "confirmed")
+        tried = tried.unionByName(picked)
+        if not links.isEmpty():
+            final = components(final.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(links))
     found = saved(classes.join(final, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component")), "found")
     out = known.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
