@@ -10,8 +10,10 @@ Copies share a set and are one node from the start.
 
 Big lists are first linked as chains: neighbours in a list, by set size, are
 compared, not all pairs. What is then one component needs no further
-comparison. Of pairs in different components the likeliest of each document
-and component come next, then the exact rest.
+comparison. For the exact rest, pairs of different components in one list, the
+shingles that no other of these documents has bound the similarity from above:
+copies with a few edits of their own are then told apart without comparing
+them one by one.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from .common import components, mix, saved, shingles, word_hashes
 
 SKETCH = ("s0", "s1", "s2", "s3")
 BITS = 64 * len(SKETCH)
+#: A longer sketch, made only of the documents that are left after the chains.
+LONG = tuple(f"t{i}" for i in range(48))
 
 
 def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
@@ -59,24 +63,28 @@ def describe(docs: DataFrame, *, width: int, coordinates: int) -> DataFrame:
                 low = signature(s, BITS)
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 pairs.append(mix(low[:coordinates] ^ salt).view(np.int64))
-                sketches.append(tuple(np.packbits(mix(low) & np.uint64(1) != 0).view(np.int64).tolist()))
+                sketches.append(tuple(sketch(low)))
             cols = {"doc_id": batch.column("doc_id"), "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(keys, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(cols | {c: pa.array([x[i] for x in sketches], pa.int64()) for i, c in enumerate(SKETCH)})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, pairs array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
-def agreeing(a: str, b: str) -> Column:
-    """How many of the BITS sketch bits agree."""
-    return F.expr(f"{BITS} - " + " - ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in SKETCH))
+def agreeing(a: str, b: str, words: tuple[str, ...], percent: int) -> Column:
+    """Do the sketch bits agree as often as they do at the similarity, less 4.5 standard deviations?"""
+    bits, rate = 64 * len(words), (1 + percent / 100) / 2
+    most = bits - int(bits * rate - 4.5 * (bits * rate * (1 - rate)) ** 0.5)
+    return F.expr(" + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in words) + f" <= {most}")
 
 
 def likely(a: str, b: str, percent: int) -> Column:
-    """May two sets reach the similarity? Sizes within it, and sketch bits within five standard deviations of it."""
-    rate = (1 + percent / 100) / 2
-    least = int(BITS * rate - 5 * (BITS * rate * (1 - rate)) ** 0.5)
-    sizes = F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)")
-    return sizes & (agreeing(a, b) >= least)
+    """May two sets reach the similarity, by their sizes and sketches?"""
+    return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)") & agreeing(a, b, SKETCH, percent)
+
+
+def sketch(low: np.ndarray) -> list[int]:
+    """One bit of each coordinate of a signature, in longs."""
+    return np.packbits(mix(low) & np.uint64(1) != 0).view(np.int64).tolist()
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int) -> DataFrame:
@@ -99,22 +107,41 @@ def confirm(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int) -> D
     return pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def across_components(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ca, cb, m): likely pairs of one list in different components, with their agreeing bits."""
+def details(docs: DataFrame, ids: DataFrame, *, width: int) -> DataFrame:
+    """(rep, own, t0..) of the documents `ids` (rep): shingles that no other of them has, and the long sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(word_hashes(t.as_py()), width) for t in batch.column("text")]
+            longs = [sketch(signature(s, 64 * len(LONG))) for s in sets]
+            cols = {"rep": batch.column("rep"), "set": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_pydict(cols | {c: pa.array([x[i] for x in longs], pa.int64()) for i, c in enumerate(LONG)})
+
+    texts = docs.join(ids, F.col("doc_id") == F.col("rep")).select("rep", "text")
+    rows = saved(texts.mapInArrow(run, "rep long, set array<long>, " + ", ".join(f"{c} long" for c in LONG)), "sets")
+    single = rows.select("rep", F.explode("set").alias("shingle")).groupBy("shingle").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
+    own = single.groupBy("rep").agg(F.count("*").alias("own"))
+    return rows.drop("set").dropDuplicates(["rep"]).join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+
+
+def across_components(lists: DataFrame, placed: DataFrame, docs: DataFrame, *, width: int, percent: int) -> DataFrame:
+    """(a, b): likely pairs of one list in different components, once each, by sketches and by own shingles."""
     rows = lists.join(placed.withColumnRenamed("node", "rep"), "rep", "left").select("pair", "rep", "n", F.coalesce("component", "rep").alias("c"), *SKETCH)
     rows = saved(rows, "placed")
     mixed = saved(rows.groupBy("pair").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("pair"), "mixed")
     rest = saved(rows.join(mixed, "pair", "left_semi"), "mixed-lists")
-    side = lambda name: rest.select("pair", F.struct("rep", "n", "c", *SKETCH).alias(name))
-    both = side("p").join(side("q"), "pair").where("p.rep < q.rep and p.c <> q.c").where(likely("p", "q", percent))
-    return both.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"), F.col("p.c").alias("ca"), F.col("q.c").alias("cb"), agreeing("p", "q").alias("m")).distinct()
-
-
-def likeliest(pairs: DataFrame) -> DataFrame:
-    """Of each document's pairs with each other component, the one with the most agreeing bits."""
-    one = pairs.groupBy("a", "cb").agg(F.max(F.struct("m", "b")).alias("x")).select("a", "x.b")
-    two = pairs.groupBy("b", "ca").agg(F.max(F.struct("m", "a")).alias("x")).select("x.a", "b")
-    return one.unionByName(two).distinct()
+    its_lists = rest.groupBy("rep").agg(F.collect_set("pair").alias("lists"))  # a prefix at most
+    more = details(docs, its_lists.select("rep"), width=width).join(its_lists, "rep")
+    # one that has too many shingles of its own for any partner goes
+    rest = saved(rest.join(more, "rep").where(f"100 * (n - own) >= {percent} * n"), "mixed-lists")
+    side = lambda name: rest.select("pair", F.struct("rep", "n", "c", "own", "lists", *SKETCH, *LONG).alias(name))
+    # at most n - own shingles are common, at least n + the other's own are in the union
+    bound = F.expr(f"100 * least(p.n - p.own, q.n - q.own) >= {percent} * greatest(p.n + q.own, q.n + p.own)")
+    both = side("p").join(side("q"), "pair").where(
+        F.expr("p.rep < q.rep and p.c <> q.c") & bound & likely("p", "q", percent) & agreeing("p", "q", LONG, percent)
+        & (F.col("pair") == F.array_min(F.array_intersect("p.lists", "q.lists")))
+    )
+    return both.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coordinates: int = 64, matches: int = 36) -> DataFrame:
@@ -127,8 +154,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coord
     one id count as one document; a null id is linked with nothing and has a
     null component. An empty table
     gives no rows. Other columns are ignored. A pair at the very limit is
-    missed with a chance of about 3 in a million (fewer than 36 of 64
-    coordinates agree, or too few sketch bits); closer pairs far more rarely.
+    missed with a chance of about one in a hundred thousand (fewer than 36 of
+    64 coordinates agree, or too few sketch bits); closer pairs far more rarely.
     """
     docs = docs.select("doc_id", "text")
     known = saved(describe(docs, width=width, coordinates=coordinates), "signatures")
@@ -158,15 +185,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coord
     links = saved(confirm(tried, docs, width=width, percent=percent), "confirmed")
     final = components(links)
 
-    for choose in (likeliest, lambda pairs: pairs.select("a", "b")):
-        open_ = saved(across_components(lists, final, percent).join(tried, ["a", "b"], "left_anti"), "open")
-        if open_.isEmpty():
-            break
-        picked = saved(choose(open_), "candidates")
-        links = saved(confirm(picked, docs, width=width, percent=percent), "confirmed")
-        tried = tried.unionByName(picked)
-        if not links.isEmpty():
-            final = components(final.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(links))
+    open_ = across_components(lists, final, docs, width=width, percent=percent).join(tried, ["a", "b"], "left_anti")
+    more = saved(confirm(saved(open_, "candidates"), docs, width=width, percent=percent), "confirmed")
+    if not more.isEmpty():
+        final = components(final.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
     found = saved(classes.join(final, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component")), "found")
     out = known.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
