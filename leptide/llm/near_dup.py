@@ -193,3 +193,18 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, coord
     out = known.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+#: Two-word sets compared pair by pair in another engine's SQL.
+SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, unnest(list_distinct(case when len(w) >= 2 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end)) as g from w),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+l as (select a, b from e union all select b, a from e),
+r as (select doc_id as x, doc_id as y from documents where doc_id is not null union select r.x, l.b from r join l on r.y = l.a),
+m as (select x, min(y) as c from r group by 1)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, coalesce(d.doc_id = m.c, false) as kept
+from documents d left join n on n.doc_id = d.doc_id left join m on m.x = d.doc_id
+"""

@@ -69,7 +69,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[n(k) for k in pii.KINDS], digest, pii.span_list(F.col("spans")).alias("spans"))
 
 
-@query("op4_minhash_near_dup")
+@query("op4_minhash_near_dup", near_dup.SQL)
 def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of two-word shingle sets with a similarity of 0.8 or more."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
