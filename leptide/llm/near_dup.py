@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,19 @@ BITS = 64 * len(SKETCH)
 LONG = tuple(f"t{i}" for i in range(48))
 
 
+@lru_cache(maxsize=4)
+def _functions(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = np.random.default_rng(64).integers(1, 1 << 63, (2, coordinates), dtype=np.uint64)
+    return seeds[0], seeds[1] | np.uint64(1)
+
+
 def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     """Smallest value of each of `coordinates` hash functions over a set of shingle hashes."""
-    seeds = np.random.default_rng(64).integers(1, 1 << 63, (2, coordinates), dtype=np.uint64)
-    factor = seeds[1] | np.uint64(1)
+    seed, factor = _functions(coordinates)
     best = np.full(coordinates, ~np.uint64(0))
-    for i in range(0, len(hashes), 2048):
-        np.minimum(best, (((hashes[i : i + 2048, None] ^ seeds[0]) * factor) ^ (seeds[0] >> np.uint64(1))).min(axis=0), out=best)
+    rows = max(64, (1 << 19) // coordinates)  # a few MB at a time, however long the text
+    for i in range(0, len(hashes), rows):
+        np.minimum(best, (((hashes[i : i + rows, None] ^ seed) * factor) ^ (seed >> np.uint64(1))).min(axis=0), out=best)
     return best
 
 
