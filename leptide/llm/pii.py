@@ -92,19 +92,19 @@ def entity(span: Column) -> Column:
 def disclosures(docs: DataFrame, found: DataFrame, *, support: int, generalise_at: float) -> DataFrame:
     """(entity, term, disclosure) of terms that reveal an entity beyond the threshold.
 
-    Contexts are lines. Joint counts are over different lines that hold the
-    entity (copies count once), the term's own count is over all lines of the
-    corpus: copies can only lower a disclosure. A term must meet the entity in
-    `support` different lines.
+    Contexts are lines, and every line of the corpus counts: copies weigh alike
+    in the joint count, the entity's own, the term's own and the total. A term
+    must meet the entity in `support` lines.
     """
-    held = found.select(F.explode("spans").alias("s"), "text").select(entity(F.col("s")).alias("entity"), "s.value", "text").distinct()
-    held = held.select("entity", "value", F.explode(F.split("text", "\n", -1)).alias("line")).where(F.col("line").contains(F.col("value")))
-    held = saved(held.groupBy("entity", F.xxhash64("line").alias("key")).agg(F.min("line").alias("line")), "entity-lines")
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    # no base pattern matches across a line break: a line's spans are the text's within it
+    held = found.select(F.explode(F.split("text", "\n", -1)).alias("line")).where(F.col("line").rlike("|".join(HINTS.values())))
+    held = held.select("line", F.explode(F.array_distinct(F.transform(base_spans(F.col("line")), entity))).alias("entity"))
+    held = saved(held.groupBy("entity", F.xxhash64("line").alias("key")).agg(F.min("line").alias("line"), F.count("*").alias("copies")), "entity-lines")
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e")).where(F.col("n_e") >= support)
     own = r"^(email|ip|card|phone):"
     joint = (
-        held.join(entities.select("entity"), "entity", "left_semi").select("entity", F.explode(line_terms(F.col("line"))).alias("term")).groupBy("entity", "term")
-        .agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+        held.join(entities.select("entity"), "entity", "left_semi").select("entity", "copies", F.explode(line_terms(F.col("line"))).alias("term")).groupBy("entity", "term")
+        .agg(F.sum("copies").alias("n_te")).where(F.col("n_te") >= support)
         .where(~F.array_contains(F.regexp_extract_all(F.regexp_replace("entity", own, ""), F.lit(TERM), F.lit(0)), F.col("term")))
     )
     every = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line"))

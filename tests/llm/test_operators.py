@@ -380,3 +380,14 @@ def test_revealing_terms(spark):
         assert "[EMAIL]" in out[k]["text"] and "Quentin" not in out[k]["text"] and "write to" in out[k]["text"]
         assert [s["kind"] for s in out[k]["base"]] == ["email"]
     assert out[200]["text"] == "Quentin alone" and not out[200]["spans"]  # the entity isn't there
+
+
+def test_copied_lines_reveal_terms(spark):
+    """One line in many documents, and three lines in many copies each: copies count on both sides of the fraction."""
+    rows = [(k, f"{prose(k, 8)}\nwrite to Quentin at q.smith@corp.example now") for k in range(40)]
+    rows += [(100 + k, f"{prose(k % 3 + 900, 4)} ask Ottilie or o.lang@corp.example now") for k in range(300)]
+    rows += [(1000 + k, f"{prose(k + 200, 12)} write ask or to at now") for k in range(600)]
+    out = {r["doc_id"]: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, name in ((3, "quentin"), (150, "ottilie")):
+        terms = {s["value"].lower() for s in out[i]["spans"] if s["kind"] == "term"}
+        assert name in terms and not terms & {"write", "ask", "or", "to", "at", "now"}
