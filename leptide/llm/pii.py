@@ -3,8 +3,8 @@
 Emails, IP addresses, card and phone numbers are found by patterns and checks.
 Co-occurrence over the corpus then estimates how strongly a term reveals an
 entity: pointwise mutual information over the information content of the
-entity. Terms above the thresholds are generalised or removed as well, in the
-documents that hold the entity.
+entity. Terms above the thresholds are generalised or removed as well: in the
+documents that hold the entity, or wherever they occur.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
+from .decontaminate import _bit_map, _in_map
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the contract in possessive form. A match can't begin inside
@@ -115,32 +116,47 @@ def disclosures(docs: DataFrame, found: DataFrame, *, support: int, generalise_a
     return met.select("entity", "term", (mutual / F.log(total / F.col("n_e"))).alias("disclosure")).where(F.col("disclosure") >= generalise_at)
 
 
-def sanitise(docs: DataFrame, *, with_text: bool = True, support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.8) -> DataFrame:
+def sanitise(
+    docs: DataFrame, *, with_text: bool = True, everywhere: bool = False, support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.8
+) -> DataFrame:
     """(doc_id, spans, base, text) for every row: all spans, those of the base kinds, the sanitised text.
 
     Base spans become [EMAIL] and the like, terms at or above `generalise_at`
     [TERM], at or above `remove_at` nothing. Overlapping spans are replaced
-    once, by the one that starts first. Without with_text, the texts of documents
-    without base spans, which stay as they are, are not carried along. Null texts count as empty; repeated
+    once, by the one that starts first. Terms are looked for in the documents
+    that hold an entity they reveal; with `everywhere`, in all documents, at
+    the highest disclosure of the term. Without with_text, the texts of documents
+    without base spans are not carried along and come out null. Null texts count as empty; repeated
     rows and null ids keep their rows; an empty table gives no rows. Other
     columns are ignored.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    scanned = docs.select("doc_id", "text", base_spans(F.col("text")).alias("spans"))
+    row = F.xxhash64("doc_id", "text").alias("row")
+    scanned = docs.select("doc_id", row, "text", base_spans(F.col("text")).alias("spans"))
     held_text = F.col("text") if with_text else F.when(F.size("spans") > 0, F.col("text"))
-    scanned = saved(scanned.select("doc_id", "spans", held_text.alias("text")), "spans")
-    held = scanned.where(F.size("spans") > 0).withColumn("row", F.xxhash64("doc_id", "text"))
+    scanned = saved(scanned.select("doc_id", "row", "spans", held_text.alias("text")), "spans")
+    held = scanned.where(F.size("spans") > 0)
     terms = saved(disclosures(docs, held, support=support, generalise_at=generalise_at), "terms")
-    told = (
-        held.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity")).join(terms, "entity")
-        .groupBy("row", "term").agg(F.max("disclosure").alias("d")).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "d"))).alias("told"))
-    )
-    told = saved(told, "told")
-    with_terms = held.join(told, "row", "left")
-    of_terms = F.when(F.col("told").isNotNull(), located(F.col("text"), "term", TERM, lambda x: F.map_contains_key("told", F.lower(x)))).otherwise(F.array().cast(SPANS))
-    rich = with_terms.select("doc_id", "text", F.col("spans").alias("base"), "told", of_terms.alias("terms")).select(
-        "doc_id", "text", "base", "told", F.concat("base", "terms").alias("spans")
-    )
+    if everywhere:
+        # a bit map of the terms, of a fixed size, drops most words where they are read
+        top = saved(terms.groupBy("term").agg(F.max("disclosure").alias("d")), "top-terms")
+        bits = _bit_map(top.select(F.xxhash64("term").alias("x")))
+        may = lambda x: F.coalesce(_in_map(bits, F.xxhash64(F.lower(x))), F.lit(False))
+        near = docs.select(row, "text").where(F.exists(line_terms(F.col("text")), may))
+        near = saved(near.select("row", located(F.col("text"), "term", TERM, may).alias("near")).dropDuplicates(["row"]), "near-terms")
+        asked = near.select("row", F.explode(F.array_distinct(F.transform("near", lambda s: F.lower(s["value"])))).alias("term"))
+        met = asked.join(top, "term")
+    else:
+        met = held.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity")).join(terms, "entity").groupBy("row", "term").agg(F.max("disclosure").alias("d"))
+    told = saved(met.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "d"))).alias("told")), "told")
+    is_told = lambda x: F.map_contains_key("told", F.lower(x))
+    none = F.array().cast(SPANS)
+    if everywhere:
+        told = saved(told.join(near, "row").select("row", "told", F.filter("near", lambda s: is_told(s["value"])).alias("terms")), "told-spans")
+        with_terms = scanned.join(told, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    else:
+        with_terms = held.join(told, "row", "left").withColumn("terms", F.when(F.col("told").isNotNull(), located(F.col("text"), "term", TERM, is_told)).otherwise(none))
+    rich = with_terms.select("doc_id", "text", F.col("spans").alias("base"), "told", F.concat("spans", "terms").alias("spans"))
     mark = lambda s: F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(
         F.element_at("told", F.lower(s["value"])) >= remove_at, ""
     ).otherwise("[TERM]")
@@ -154,6 +170,7 @@ def sanitise(docs: DataFrame, *, with_text: bool = True, support: int = 3, gener
         lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))),
     )
     rich = rich.select("doc_id", "base", "spans", written.alias("text"))
-    none = F.array().cast(SPANS)
+    if everywhere:
+        return rich
     plain = scanned.where(F.size("spans") == 0).select("doc_id", none.alias("base"), none.alias("spans"), "text")
     return rich.unionByName(plain)

@@ -63,7 +63,7 @@ def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.sanitise(table(spark, sf_dir, "documents"), with_text=False)
+    out = pii.sanitise(table(spark, sf_dir, "documents"), with_text=False, everywhere=True)
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     digest = F.sha2(pii.span_list(F.col("base")).cast("binary"), 256).alias("base_sha256")
     return out.select("doc_id", *[n(k) for k in pii.KINDS], digest, pii.span_list(F.col("spans")).alias("spans"))

@@ -391,3 +391,19 @@ def test_copied_lines_reveal_terms(spark):
     for i, name in ((3, "quentin"), (150, "ottilie")):
         terms = {s["value"].lower() for s in out[i]["spans"] if s["kind"] == "term"}
         assert name in terms and not terms & {"write", "ask", "or", "to", "at", "now"}
+
+
+def test_revealing_terms_everywhere(spark, odd, none):
+    rows = [(k, f"{prose(k, 8)} write to Quentin at q.smith@corp.example now\n{prose(k + 50, 8)}") for k in range(6)]
+    rows += [(100 + k, f"{prose(k + 200, 12)} write to at now") for k in range(60)] + [(200, "Quentin alone, quentin"), (201, None), (None, "QUENTIN")] + [(202, "by Quentin")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = pii.sanitise(df, everywhere=True).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        terms = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"]
+        text = next(t for i, t in rows if i == r["doc_id"]) or ""
+        assert [p for p in terms if text[slice(*p)].lower() == "quentin"] == [m.span() for m in re.finditer("(?i)quentin", text)]
+        assert "quentin" not in r["text"].lower()
+    lean = pii.sanitise(df, everywhere=True, with_text=False).collect()
+    assert sorted(str((r["doc_id"], r["spans"])) for r in lean) == sorted(str((r["doc_id"], r["spans"])) for r in out)
+    assert pii.sanitise(odd, everywhere=True).count() == odd.count() and pii.sanitise(none, everywhere=True).count() == 0
