@@ -4,7 +4,9 @@ Fixed masks pick some words of a window and ignore the others, so a seed still
 agrees where an ignored word was substituted. Seeds of all documents meet those
 of the benchmark in a join on their hashes; around each hit the texts are
 compared word by word along the diagonal, and a stretch that scores enough
-(+1 for an equal word, -2 for another) is an overlap.
+(+1 for an equal word, -2 for another) is an overlap. So is a diagonal on
+which most words of the item stand, whatever their score: short items get
+lighter masks as well, since few substitutions leave them no other seed.
 
 Two bit maps of a fixed size, one of the benchmark's word pairs and one of its
 seeds, drop document windows that can't hit before anything is shuffled. They
@@ -21,6 +23,9 @@ from .common import saved
 #: Word offsets each mask looks at; all begin with two neighbours.
 MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 3, 4, 6, 7), (0, 1, 2, 3, 5, 6))
 SPAN = 8
+#: Looked at as well for items of at most SHORT words.
+LIGHT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 1, 4, 5), (0, 1, 2, 5))
+SHORT = 25
 BITS = 22  # of each bit map: 512 kB
 
 
@@ -39,12 +44,22 @@ def _pair(h: Column, i: Column) -> Column:
 
 
 def _seed(h: Column, i: Column, mask: int) -> Column:
-    return F.xxhash64(F.lit(mask), *[_at(h, i, k) for k in MASKS[mask]])
+    return F.xxhash64(F.lit(mask), *[_at(h, i, k) for k in (*MASKS, *LIGHT_MASKS)[mask]])
+
+
+def _fits(h: Column, i: Column, mask: int) -> Column:
+    return i + (*MASKS, *LIGHT_MASKS)[mask][-1] < F.size(h)
 
 
 def _places(h: Column) -> Column:
-    """Starts of the whole windows of a text."""
-    return F.when(F.size(h) >= SPAN, F.sequence(F.lit(0), F.size(h) - SPAN)).otherwise(F.array().cast("array<int>"))
+    """Starts of the windows of a text, as far as the shortest mask fits."""
+    least = min(m[-1] for m in LIGHT_MASKS) + 1
+    return F.when(F.size(h) >= least, F.sequence(F.lit(0), F.size(h) - least)).otherwise(F.array().cast("array<int>"))
+
+
+def _seeds(h: Column, i: Column, masks: range) -> Column:
+    """Seeds of the masks that fit at a place."""
+    return F.array_compact(F.array(*[F.when(_fits(h, i, m), _seed(h, i, m)) for m in masks]))
 
 
 def _bit_map(hashes: DataFrame) -> Column:
@@ -63,7 +78,7 @@ def _in_map(bits: Column, x: Column) -> Column:
     return F.getbit(word, x.bitwiseAND(63).cast("int")) == 1
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12, min_percent: int = 80) -> DataFrame:
     """(row, doc_id, item_id, score, matched, doc_from, doc_to) of the best overlap of each document and item.
 
     docs has (doc_id, text), benchmark (item_id, text). `row` is a hash of id
@@ -71,16 +86,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12)
     other. doc_from and doc_to are word positions, the end exclusive. Null and
     empty texts overlap with nothing, nor do items of fewer than SPAN words,
     which can't be told from ordinary phrases. An item of fewer than
-    `min_score` words must occur with no substitution. Other columns are
-    ignored.
+    `min_score` words must occur with no substitution. Others overlap too if
+    `min_percent` of all their words stand at their place on the diagonal: where
+    only that holds, `matched`, doc_from and doc_to are those of the whole
+    diagonal, and `score` is its best stretch's. Other columns are ignored.
     """
     items = saved(
         benchmark.select("item_id", word_keys(F.col("text")).alias("g")).where(F.size("g") >= SPAN).distinct(), "items"
     )
     spots = items.select("item_id", "g", F.explode(_places(F.col("g"))).alias("j"))
     g, j = F.col("g"), F.col("j")
+    heavy, every = range(len(MASKS)), range(len(MASKS) + len(LIGHT_MASKS))
     seeds = saved(
-        spots.select("item_id", "j", F.size("g").alias("length"), F.explode(F.array(*[_seed(g, j, m) for m in range(len(MASKS))])).alias("seed")), "seeds"
+        spots.select("item_id", "j", F.size("g").alias("length"), F.explode(F.when(F.size("g") <= SHORT, _seeds(g, j, every)).otherwise(_seeds(g, j, heavy))).alias("seed")), "seeds"
     )
     pair_map = _bit_map(spots.select(_pair(g, j).alias("x")))
     seed_map = _bit_map(seeds.select(F.col("seed").alias("x")))
@@ -88,8 +106,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12)
 
     def may_hit(h: Column, i: Column) -> Column:
         found = F.lit(False)
-        for m in range(len(MASKS)):
-            found = found | _in_map(seed_map, _seed(h, i, m))
+        for m in every:
+            found = found | (_fits(h, i, m) & _in_map(seed_map, _seed(h, i, m)))
         return _in_map(pair_map, _pair(h, i)) & found
 
     hashed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"))
@@ -97,7 +115,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12)
     hashed = saved(hashed.select("row", "doc_id", "s.h", "s.spots").where(F.size("spots") > 0), "windows")
 
     i = F.col("i")
-    asked = hashed.select("row", "h", F.explode("spots").alias("i")).select("row", "i", F.explode(F.array(*[_seed(h, i, m) for m in range(len(MASKS))])).alias("seed"))
+    asked = hashed.select("row", "h", F.explode("spots").alias("i")).select("row", "i", F.explode(_seeds(h, i, every)).alias("seed")).where(_in_map(seed_map, F.col("seed")))
     diagonals = asked.join(seeds, "seed").select("row", "item_id", "length", (F.col("i") - F.col("j")).alias("shift")).distinct()
     # only the words that an item covers travel on
     first = F.greatest(F.col("shift"), F.lit(0))
@@ -120,10 +138,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12)
             F.when(better, equal).otherwise(s["best_equal"]).alias("best_equal"),
         )
 
-    scored = covered.select("row", "doc_id", "item_id", "length", "start", F.aggregate(F.transform("same", lambda x: F.coalesce(x, F.lit(False))), zero, step).alias("s"))
-    scored = scored.where(F.col("s.best") >= F.least(F.lit(min_score), F.col("length")))
+    scored = covered.select("row", "doc_id", "item_id", "length", "start", F.aggregate(F.transform("same", lambda x: F.coalesce(x, F.lit(False))), zero, step).alias("s"), F.size(F.filter("same", lambda x: x)).alias("total"))
+    stretch = F.col("s.best") >= F.least(F.lit(min_score), F.col("length"))
+    share = (F.col("length") >= min_score) & (100 * F.col("total") >= min_percent * F.col("length"))
+    scored = scored.where(stretch | share).select(
+        "row", "doc_id", "item_id", F.col("s.best").alias("score"), F.when(stretch, F.col("s.best_equal")).otherwise(F.col("total")).alias("matched"),
+        (F.col("start") + F.when(stretch, F.col("s.best_from")).otherwise(0)).alias("from"), (F.col("start") + F.when(stretch, F.col("s.best_to")).otherwise(F.col("s.at"))).alias("to"),
+    )
     best = scored.groupBy("row", "item_id").agg(
         F.first("doc_id").alias("doc_id"),
-        F.max(F.struct(F.col("s.best").alias("score"), F.col("s.best_equal").alias("matched"), (-(F.col("start") + F.col("s.best_from"))).alias("from"), (F.col("start") + F.col("s.best_to")).alias("to"))).alias("o"),
+        F.max(F.struct("score", "matched", (-F.col("from")).alias("from"), "to")).alias("o"),
     )
     return best.select("row", "doc_id", "item_id", "o.score", "o.matched", (-F.col("o.from")).alias("doc_from"), F.col("o.to").alias("doc_to"))

@@ -131,6 +131,23 @@ def test_seeds_survive_substitutions(spark, odd, none):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_short_items_survive_substitutions(spark):
+    rng = random.Random(8)
+    items = [(k, prose(1000 + k, 15 + k % 11)) for k in range(60)]
+    docs = []
+    for k, text in items:
+        words = text.split()
+        at = (5, 11) if k == 0 else rng.sample(range(len(words)), len(words) * (10 + k % 11) // 100)
+        for x in at:
+            words[x] = "other%d" % x
+        docs.append((k, prose(2000 + k, 40) + " " + " ".join(words) + " " + prose(3000 + k, 40)))
+    docs += [(500 + k, prose(4000 + k, 200)) for k in range(20)] + [(600, items[5][1])]
+    out = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in out}
+    assert got == {(k, k) for k in range(60)} | {(600, 5)}
+    assert all(10 * r["matched"] >= 8 * min(12, len(items[r["item_id"]][1].split())) for r in out)
+
+
 # ---- 4 near duplicates ---------------------------------------------------
 
 
