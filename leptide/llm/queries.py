@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
+from . import bpe, decontaminate, line_dedup, merkle, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query("op13_merkle_manifest")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a tampered copy of it folds to."""
+    docs = table(spark, sf_dir, "documents")
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    text = F.when(picked, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    cells = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    rows = docs.select("doc_id", "source", merkle.leaf(*cells, F.col("text")).alias("leaf"), merkle.leaf(*cells, text).alias("seen"))
+    rows = rows.withColumn("seen", F.when(F.col("seen") != F.col("leaf"), F.col("seen")))
+    out = merkle.manifest(rows, group="source", order="doc_id", leaf="leaf", carry=["seen"])
+    out = out.withColumn("folded_root", F.when(F.col("seen").isNull(), merkle.fold(F.col("leaf"), F.col("steps"))).otherwise(merkle.fold(F.col("seen"), F.col("steps"))))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("steps"))).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
