@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, merkle, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
+from . import bpe, collocations, decontaminate, line_dedup, merkle, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +124,9 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merkle.manifest(rows, group="source", order="doc_id", leaf="leaf", carry=["seen"])
     out = out.withColumn("folded_root", F.when(F.col("seen").isNull(), merkle.fold(F.col("leaf"), F.col("steps"))).otherwise(merkle.fold(F.col("seen"), F.col("steps"))))
     return out.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("steps"))).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op11_collocations", collocations.SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
