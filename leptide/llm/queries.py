@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, decontaminate, line_dedup, merkle, near_dup, perplexity, pii, rule_classifier, sharding, token_count, url_filter
+from . import bpe, collocations, decontaminate, line_dedup, merkle, near_dup, perplexity, pii, rule_classifier, sharding, spotsigs, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,14 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_spotsigs", spotsigs.SQL)
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they and the next one are."""
+    out = spotsigs.with_edited(table(spark, sf_dir, "documents"))
+    sig, edited = F.col("sig"), F.col("edited_sig")
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), spotsigs.fingerprint(sig).alias("fingerprint"),
+        spotsigs.fingerprint(edited).alias("edited_fingerprint"), spotsigs.likeness(sig, edited).alias("near_edited"), spotsigs.likeness(sig, F.col("next_sig")).alias("near_next"),
+    )
