@@ -30,6 +30,8 @@ from .common import _BASE, _INVERSE, _LOWER, _VALUE, _powers, mix, saved, union_
 
 #: Bytes that are looked at together; a piece of text is never divided.
 SLICE = 1 << 21
+#: Words after which a task counts up what it holds.
+HELD = 1 << 20
 CELLS = 1 << 16
 #: Bit maps hold between 2**16 and 2**MAP_BITS bits: 16 MB at most.
 MAP_BITS = 27
@@ -121,6 +123,19 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(_BASE) + b)
 
 
+def _held(slices: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Rows of numbers (one array a column) of several slices together, some HELD of them at a time."""
+    kept, size = [], 0
+    for rows in slices:
+        kept.append(rows)
+        size += rows.shape[1]
+        if size >= HELD:
+            yield np.concatenate(kept, axis=1)
+            kept, size = [], 0
+    if size:
+        yield np.concatenate(kept, axis=1)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -166,19 +181,19 @@ def _dense(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def count_pairs(docs: DataFrame, seed: int, words: BitMap) -> DataFrame:
     """(w1, w2, f) of neighbours in a piece of which both may be frequent words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            kept = []
             for w in batch_words(batch, seed):
                 good = words.has(w.number)
                 both = np.flatnonzero(good[:-1] & good[1:] & (w.piece[:-1] == w.piece[1:]))
-                kept.append(np.stack([w.number[both], w.number[both + 1]]))
-            a, b = np.concatenate(kept, axis=1) if kept else np.empty((2, 0), np.uint64)
-            if len(a):
-                first, _, n = _dense(a, b)
-                for i in range(0, len(first), 100_000):
-                    at = first[i : i + 100_000]
-                    yield pa.RecordBatch.from_pydict({"w1": _signed(a[at]), "w2": _signed(b[at]), "f": n[i : i + 100_000]})
+                yield np.stack([w.number[both], w.number[both + 1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _held(neighbours(batches)):
+            first, _, n = _dense(a, b)
+            for i in range(0, len(first), 100_000):
+                at = first[i : i + 100_000]
+                yield pa.RecordBatch.from_pydict({"w1": _signed(a[at]), "w2": _signed(b[at]), "f": n[i : i + 100_000]})
 
     rows = docs.select("lang", "text").mapInArrow(run, "w1 long, w2 long, f long")
     return rows.groupBy("w1", "w2").agg(F.sum("f").alias("f"))
@@ -226,30 +241,24 @@ def suffixes(docs: DataFrame, seed: int, pairs: BitMap, division: Division, long
     """(group, split, w1..w5, f): suffixes of three words or more, cut off at `longest` and before rare pairs; 0 where a word is missing."""
     sent = docs.sparkSession.sparkContext.broadcast((division.group, division.parts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group_of, parts_of = sent.value
+    def cut_off(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            kept = []
             for w in batch_words(batch, seed):
                 n = len(w.number)
-                if n < 3:
-                    continue
                 linked = np.zeros(n, bool)  # with the next word
                 linked[:-1] = (w.piece[:-1] == w.piece[1:]) & pairs.has(pair_key(w.number[:-1], w.number[1:]))
                 cols, on = [w.number], np.ones(n, bool)
                 for k in range(1, longest):
-                    on = on.copy()
-                    on[: n - k] &= linked[k - 1 : n - 1]
-                    on[n - k :] = False
-                    nxt = np.zeros(n, np.uint64)
-                    nxt[: n - k] = np.where(on[: n - k], w.number[k:], 0)
+                    m = max(0, n - k)  # places with k words behind them in this slice
+                    on, nxt = np.append(on[:m], np.zeros(n - m, bool)), np.zeros(n, np.uint64)
+                    on[:m] &= linked[k - 1 : k - 1 + m]
+                    nxt[:m] = np.where(on[:m], w.number[k:], 0)
                     cols.append(nxt)
-                kept.append(np.stack([c[cols[2] != 0] for c in cols]))
-            if not kept:
-                continue
-            rows = np.concatenate(kept, axis=1)
-            if not rows.shape[1]:
-                continue
+                yield np.stack([c[cols[2] != 0] for c in cols])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group_of, parts_of = sent.value
+        for rows in _held(cut_off(batches)):
             first, _, n = _dense(*rows)
             rows = rows[:, first]
             cell = (pair_key(rows[0], rows[1]) >> np.uint64(48)).astype(np.int64)

@@ -187,3 +187,42 @@ def manifest(rows: DataFrame, *, group: str, order: str, leaf: str, carry: Seque
         F.concat(F.array(_step(F.col("children"), c["lo"], c["hi"])), "steps").alias("steps"),
     )
     return out.unionByName(alone)
+
+
+def _sql(levels: int = 4, fan: int = FAN) -> str:
+    """The same level by level in another engine's SQL, for groups of up to fan ** levels rows."""
+    enc = lambda c: f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')"
+    leaf_of = lambda text: "sha256(" + " || ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    shifted = "list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    crc = f"xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda z: ord(z)::bigint)), lambda c, b: {shifted}), 4294967295)"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(p: str) -> str:
+        out = ""
+        for k in range(levels):
+            out += f""",
+{p}{k + 1} as (select tree, i // {fan} as i, (n + {fan - 1}) // {fan} as n, sha256(string_agg(d, '' order by i)) as d from {p}{k} where n > 1 group by tree, i // {fan}, n),
+{p}s{k} as (select a.tree, a.i, coalesce(string_agg(b.d, '' order by b.i) filter (b.i < a.i), '') as l, coalesce(string_agg(b.d, '' order by b.i) filter (b.i > a.i), '') as r
+  from {p}{k} a join {p}{k} b on a.tree = b.tree and a.i // {fan} = b.i // {fan} where a.n > 1 group by a.tree, a.i)"""
+        return out + f""",
+{p}top as ({" union all ".join(f"select tree, d from {p}{k} where n = 1" for k in range(levels + 1))})"""
+
+    folds, last, at = "", "y", "i"
+    for p, tree_, first in (("a", "y.tree", "i"), ("b", "0", "tree")):
+        for k in range(levels):
+            place = f"(y.{first} // {fan ** k})"
+            name = f"y{p}{k}"
+            folds += f""",
+{name} as (select y.* exclude (h, proof), case when s.tree is null then h else sha256(s.l || h || s.r) end as h, case when s.tree is null then proof else proof || s.l || s.r end as proof
+  from {last} y left join {p}s{k} s on s.tree = {tree_} and s.i = {place})"""
+            last = name
+    return rf"""
+with x as (select doc_id, source, {leaf_of("text")} as leaf, {leaf_of(f"case when {crc} % 5 = 0 then {low} else text end")} as seen, dense_rank() over (order by source nulls first) - 1 as tree from documents),
+a0 as (select *, leaf as d, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as n from x){tree("a")},
+b0 as (select 0 as tree, tree as i, count(*) over () as n, d from atop){tree("b")},
+y as (select a0.doc_id, a0.leaf, a0.tree, a0.i, seen as h, '' as proof, atop.d as subroot, btop.d as root from a0 join atop using (tree), btop){folds}
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, h as folded_root, h = root as verified from {last}
+"""
+
+
+SQL = _sql()

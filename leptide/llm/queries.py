@@ -111,7 +111,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-@query("op13_merkle_manifest")
+@query("op13_merkle_manifest", merkle.SQL)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and the root that a tampered copy of it folds to."""
     docs = table(spark, sf_dir, "documents")
