@@ -8,13 +8,16 @@ compared word by word along the diagonal, and a stretch that scores enough
 which most words of the item stand, whatever their score: short items get
 lighter masks as well, since few substitutions leave them no other seed.
 
-Two bit maps of a fixed size, one of the benchmark's word pairs and one of its
-seeds, drop document windows that can't hit before anything is shuffled. They
-may let too many through, never too few.
+Two bit maps, one of the benchmark's word pairs and one of its seeds, drop
+document windows that can't hit before anything is shuffled. Their size follows
+the number of entries up to a limit. They may let too many through, never too
+few.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ SPAN = 8
 #: Looked at as well for items of at most SHORT words.
 LIGHT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 1, 4, 5), (0, 1, 2, 5))
 SHORT = 25
-BITS = 22  # of each bit map: 512 kB
+MOST_BITS = 25  # of a bit map: 4 MB
 
 
 def word_keys(text: Column) -> Column:
@@ -62,19 +65,30 @@ def _seeds(h: Column, i: Column, masks: range) -> Column:
     return F.array_compact(F.array(*[F.when(_fits(h, i, m), _seed(h, i, m)) for m in masks]))
 
 
-def _bit_map(hashes: DataFrame) -> Column:
-    """2**BITS bits as a constant array of longs, set for the hashes in column `x`; its size is fixed."""
-    size = (1 << BITS) // 64
+@dataclass(frozen=True)
+class BitMap:
+    """One row holding an array of longs, looked up as a scalar; the plan does not spell its bits out."""
+
+    words: Column
+    bits: int
+
+
+def _bit_map(hashes: DataFrame) -> BitMap:
+    """Bits set for the hashes in column `x`: 16 or more for each, between 2**16 and 2**MOST_BITS."""
+    bits = min(MOST_BITS, max(16, (16 * hashes.count()).bit_length()))
+    size = (1 << bits) // 64
     cell = F.shiftrightunsigned("x", 6).bitwiseAND(size - 1)
     rows = hashes.select(cell.alias("cell"), F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
-    bits = [0] * size
+    words = [0] * size
     for r in rows.collect():  # at most `size` rows
-        bits[r["cell"]] = r["bits"]
-    return F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")  # folded to a constant by the optimizer
+        words[r["cell"]] = r["bits"]
+    table = hashes.sparkSession.createDataFrame([(words,)], "words array<long>")
+    return BitMap(saved(table, "bits").scalar(), bits)
 
 
-def _in_map(bits: Column, x: Column) -> Column:
-    word = F.get(bits, F.shiftrightunsigned(x, 6).bitwiseAND((1 << BITS) // 64 - 1).cast("int"))
+def _in_map(held: BitMap, x: Column, words: Column | None = None) -> Column:
+    """Is the bit of x set? Inside a lambda, where no scalar can stand, `words` hands in the array."""
+    word = F.get(held.words if words is None else words, F.shiftrightunsigned(x, 6).bitwiseAND((1 << held.bits) // 64 - 1).cast("int"))
     return F.getbit(word, x.bitwiseAND(63).cast("int")) == 1
 
 
@@ -104,14 +118,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12,
     seed_map = _bit_map(seeds.select(F.col("seed").alias("x")))
     h = F.col("h")
 
-    def may_hit(h: Column, i: Column) -> Column:
+    def may_hit(s: Column, i: Column) -> Column:
         found = F.lit(False)
         for m in every:
-            found = found | (_fits(h, i, m) & _in_map(seed_map, _seed(h, i, m)))
-        return _in_map(pair_map, _pair(h, i)) & found
+            found = found | (_fits(s["h"], i, m) & _in_map(seed_map, _seed(s["h"], i, m), s["seeds"]))
+        return _in_map(pair_map, _pair(s["h"], i), s["pairs"]) & found
 
-    hashed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"))
-    hashed = hashed.select("row", "doc_id", F.transform(F.array(F.struct("h")), lambda s: F.struct(s["h"].alias("h"), F.filter(_places(s["h"]), lambda i: may_hit(s["h"], i)).alias("spots")))[0].alias("s"))
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"), pair_map.words.alias("pairs"), seed_map.words.alias("seeds"))
+    hashed = hashed.select("row", "doc_id", F.transform(
+        F.array(F.struct("h", "pairs", "seeds")), lambda s: F.struct(s["h"].alias("h"), F.filter(_places(s["h"]), lambda i: may_hit(s, i)).alias("spots"))
+    )[0].alias("s"))
     hashed = saved(hashed.select("row", "doc_id", "s.h", "s.spots").where(F.size("spots") > 0), "windows")
 
     i = F.col("i")
