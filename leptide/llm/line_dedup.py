@@ -56,38 +56,43 @@ def chunks(text: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chunks, n_removed, text) for every row of docs (doc_id, text).
 
-    The first occurrence, by doc_id and place, stays. Rows of one id are one
-    document, as are those without an id: a chunk at the same place in them is
-    the same occurrence. Null texts stay null, with one empty chunk; an empty
-    table gives no rows. What is left of a text keeps its order and line
-    breaks. Other columns are ignored.
+    The first occurrence, by doc_id, text digest and place, stays. Rows of one
+    id and text are one document: a chunk at the same place in them is the same
+    occurrence. Rows of one id, or of none, with different texts are documents
+    of their own. Null texts stay null, with one empty chunk; an empty table
+    gives no rows. What is left of a text keeps its order and line breaks.
+    Other columns are ignored.
     """
     return rebuild(docs.select("doc_id", "text"), removed_chunks(docs)).select("doc_id", "n_chunks", "n_removed", "text")
 
 
+def _row(text: Column) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def removed_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, places): which chunks of which documents occurred before."""
-    cut = docs.select("doc_id", F.posexplode(chunks(F.col("text"))).alias("place", "c")).where("c.removable").select(
-        "doc_id", "place", F.md5(F.col("c.text").cast("binary")).alias("key"), F.col("c.text").alias("chunk")
+    """(doc_id, row, places): which chunks of which documents occurred before."""
+    cut = docs.select("doc_id", _row(F.col("text")).alias("row"), F.posexplode(chunks(F.col("text"))).alias("place", "c")).where("c.removable").select(
+        F.struct("doc_id", "row", "place").alias("at"), F.md5(F.col("c.text").cast("binary")).alias("key"), F.col("c.text").alias("chunk")
     )
     # hashes and places are combined map-side; no text is moved for this
-    repeated = saved(
-        cut.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).where("n > 1").select("key", "first"), "repeated"
-    )
-    found = saved(cut.join(repeated, "key").withColumn("stays", F.col("first").eqNullSafe(F.struct("doc_id", "place"))).drop("first"), "occurrences")
+    repeated = saved(cut.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("first")).where("n > 1").select("key", "first"), "repeated")
+    found = saved(cut.join(repeated, "key").withColumn("stays", F.col("first").eqNullSafe(F.col("at"))).drop("first"), "occurrences")
     again, kept = found.where("not stays"), found.where("stays").select(F.col("key").alias("key_"), F.col("chunk").alias("chunk_"))
     gone = again.join(kept, (F.col("key") == F.col("key_")) & (F.col("chunk") == F.col("chunk_")), "left_semi")
-    return saved(gone.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "removed")
+    return saved(gone.groupBy("at.doc_id", "at.row").agg(F.collect_set("at.place").alias("places")), "removed")
 
 
 def rebuild(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Texts without the chunks at the places that `gone` (doc_id, places) lists.
+    """Texts without the chunks at the places that `gone` (doc_id, row, places) lists.
 
     Columns: row (all of the input's), doc_id, text, n_chunks, n_removed.
     """
-    g = gone.select(F.col("doc_id").alias("gone_id"), F.col("places").alias("gone_places"))
+    g = gone.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), F.col("places").alias("gone_places"))
     rows = docs.select(F.struct("*").alias("row"))
-    out = rows.join(g, F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "gone_places", chunks(F.col("row.text")).alias("chunks"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (_row(F.col("row.text")) == F.col("gone_row"))
+    out = rows.join(g, same, "left").select("row", "gone_places", chunks(F.col("row.text")).alias("chunks"))
     left = F.filter("chunks", lambda c, i: ~F.array_contains("gone_places", i))
     text = F.when(F.col("gone_places").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda c: c["text"]), "\n"))
     n_removed = F.when(F.col("gone_places").isNull(), 0).otherwise(F.size("gone_places"))
@@ -96,13 +101,15 @@ def rebuild(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 #: The same in another engine's SQL, line by line with window functions.
 SQL = r"""
-with l0 as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from documents),
+with r as (select doc_id, text, md5(coalesce(text, '')) as row, row_number() over () as nr from documents),
+u as (select doc_id, row, min(nr) as nr, any_value(coalesce(text, '')) as text from r group by doc_id, row),
+l0 as (select doc_id, row, nr, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from u),
 l1 as (select *, md5(line) as h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as w from l0),
-l2 as (select *, lag(h) over d as h0, lead(w) over d as w1, i = max(i) over (partition by doc_id) as final from l1 window d as (partition by doc_id order by i)),
+l2 as (select *, lag(h) over d as h0, lead(w) over d as w1, i = max(i) over (partition by nr) as final from l1 window d as (partition by nr order by i)),
 l3 as (select *, (final or w > 50 or coalesce(w1, 0) > 50 or substr(md5(coalesce(h0, '') || h), 1, 1) <= '4')::int as cut from l2),
-l4 as (select *, coalesce(sum(cut) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as place from l3),
-c as (select doc_id, place, string_agg(line, chr(10) order by i) as chunk, sum((w > 0)::int) >= 2 or (count(*) = 1 and max(w) > 50) as removable from l4 group by doc_id, place),
-f as (select *, removable and row_number() over (partition by removable, chunk order by doc_id, place) > 1 as gone from c)
-select doc_id, count(*) as n_chunks, sum(gone::int)::bigint as n_removed, coalesce(string_agg(chunk, chr(10) order by place) filter (not gone), '') as text
-from f group by doc_id
+l4 as (select *, coalesce(sum(cut) over (partition by nr order by i rows between unbounded preceding and 1 preceding), 0) as place from l3),
+c as (select doc_id, row, nr, place, string_agg(line, chr(10) order by i) as chunk, sum((w > 0)::int) >= 2 or (count(*) = 1 and max(w) > 50) as removable from l4 group by all),
+f as (select *, removable and row_number() over (partition by removable, chunk order by doc_id nulls first, row, place) > 1 as gone from c),
+d as (select doc_id, row, count(*) as n_chunks, sum(gone::int)::bigint as n_removed, coalesce(string_agg(chunk, chr(10) order by place) filter (not gone), '') as text from f group by doc_id, row)
+select r.doc_id, d.n_chunks, d.n_removed, case when r.text is not null then d.text end as text from r join d on r.doc_id is not distinct from d.doc_id and r.row = d.row
 """

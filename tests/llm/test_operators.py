@@ -271,6 +271,20 @@ def test_line_chunks(spark, odd, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_one_id_with_several_texts_keeps_its_own_lines(spark):
+    """An id, or a missing one, that stands twice with different texts: only what occurred before goes."""
+    same = "\n".join(prose(k, 9) for k in range(30))
+    rare = "\n".join(prose(100 + k, 9) for k in range(30))
+    rows = [(1, same), (2, same), (2, rare), (None, rare + "\nend"), (None, "\n".join(prose(200 + k, 9) for k in range(20))), (2, rare)]
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = [t for i, t in got if i is not None]
+    assert (1, same) not in got or (2, same) not in got
+    whole = [t for i, t in got if t in (same, rare, rows[3][1], rows[4][1])]
+    # null ids come first: there the rare lines stand whole, the second text of id 2 loses them, and no other row loses any
+    assert (None, rows[3][1]) in got and (None, rows[4][1]) in got and (1, same) in got
+    assert len(whole) == 3 and all(len(t) < 700 for t in texts if t != same)
+
+
 # ---- 7 rule ensemble -----------------------------------------------------
 
 
