@@ -116,8 +116,36 @@ def disclosures(docs: DataFrame, found: DataFrame, *, support: int, generalise_a
     return met.select("entity", "term", (mutual / F.log(total / F.col("n_e"))).alias("disclosure")).where(F.col("disclosure") >= generalise_at)
 
 
+def term_table(top: DataFrame, n: int) -> Column:
+    """The n rows (term, d) as one array of n buckets by hash, looked up as a scalar."""
+    held = top.select(_bucket(F.col("term"), n).alias("b"), F.struct("term", "d").alias("e")).groupBy("b").agg(F.collect_list("e").alias("es"))
+    every = top.sparkSession.range(n).select(F.col("id").cast("int").alias("b")).join(held, "b", "left")
+    return saved(every.agg(F.array_sort(F.collect_list(F.struct("b", "es"))).alias("t")).select(F.transform("t", lambda x: x["es"]).alias("t")), "term-table").scalar()
+
+
+def _bucket(term: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(max(1, n))).cast("int")
+
+
+def _replaced(rich: DataFrame, remove_at: float) -> DataFrame:
+    """(doc_id, base, spans, text): the text with its spans replaced; `told` has the disclosure of each term."""
+    mark = lambda s: F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(
+        F.element_at("told", F.lower(s["value"])) >= remove_at, ""
+    ).otherwise("[TERM]")
+    text = F.col("text")
+    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0))
+    written = F.aggregate(
+        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(
+            F.struct(s["end"].alias("at"), F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]), mark(s)).alias("out"))
+        ),
+        lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))),
+    )
+    return rich.select("doc_id", "base", "spans", written.alias("text"))
+
+
 def sanitise(
-    docs: DataFrame, *, with_text: bool = True, everywhere: bool = False, support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.8
+    docs: DataFrame, *, with_text: bool = True, everywhere: bool = False, support: int = 3, generalise_at: float = 0.5, remove_at: float = 0.8, few: int = 200_000
 ) -> DataFrame:
     """(doc_id, spans, base, text) for every row: all spans, those of the base kinds, the sanitised text.
 
@@ -125,7 +153,8 @@ def sanitise(
     [TERM], at or above `remove_at` nothing. Overlapping spans are replaced
     once, by the one that starts first. Terms are looked for in the documents
     that hold an entity they reveal; with `everywhere`, in all documents, at
-    the highest disclosure of the term. Without with_text, the texts of documents
+    the highest disclosure of the term: up to `few` terms are looked up where a
+    text is read, more of them are joined; the result is the same. Without with_text, the texts of documents
     without base spans are not carried along and come out null. Null texts count as empty; repeated
     rows and null ids keep their rows; an empty table gives no rows. Other
     columns are ignored.
@@ -140,9 +169,19 @@ def sanitise(
     if everywhere:
         # a bit map of the terms, of a fixed size, drops most words where they are read
         top = saved(terms.groupBy("term").agg(F.max("disclosure").alias("d")), "top-terms")
+        n = top.count()
+    if everywhere and n <= few:
+        lookup = term_table(top, n)
+        entry = lambda x: F.filter(F.get("lookup", _bucket(x, n)), lambda e: e["term"] == x)
+        known = lambda x: F.coalesce(F.size(entry(F.lower(x))) > 0, F.lit(False))
+        read = docs.select("doc_id", "text", lookup.alias("lookup")).select("doc_id", "text", "lookup", base_spans(F.col("text")).alias("base"), located(F.col("text"), "term", TERM, known).alias("terms"))
+        told = F.map_from_entries(F.array_distinct(F.transform("terms", lambda s: F.get(entry(F.lower(s["value"])), F.lit(0)))))
+        held_text = F.col("text") if with_text else F.when(F.size("base") > 0, F.col("text"))
+        return _replaced(read.select("doc_id", held_text.alias("text"), "base", told.alias("told"), F.concat("base", "terms").alias("spans")), remove_at)
+    if everywhere:
         bits = _bit_map(top.select(F.xxhash64("term").alias("x")))
-        may = lambda x: F.coalesce(_in_map(bits, F.xxhash64(F.lower(x))), F.lit(False))
-        near = docs.select(row, "text").where(F.exists(line_terms(F.col("text")), may))
+        may = lambda x: F.coalesce(_in_map(bits, F.xxhash64(F.lower(x)), F.col("bits")), F.lit(False))
+        near = docs.select(row, "text", bits.words.alias("bits")).where(F.exists(line_terms(F.col("text")), may))
         near = saved(near.select("row", located(F.col("text"), "term", TERM, may).alias("near")).dropDuplicates(["row"]), "near-terms")
         asked = near.select("row", F.explode(F.array_distinct(F.transform("near", lambda s: F.lower(s["value"])))).alias("term"))
         met = asked.join(top, "term")
@@ -157,19 +196,7 @@ def sanitise(
     else:
         with_terms = held.join(told, "row", "left").withColumn("terms", F.when(F.col("told").isNotNull(), located(F.col("text"), "term", TERM, is_told)).otherwise(none))
     rich = with_terms.select("doc_id", "text", F.col("spans").alias("base"), "told", F.concat("spans", "terms").alias("spans"))
-    mark = lambda s: F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).when(
-        F.element_at("told", F.lower(s["value"])) >= remove_at, ""
-    ).otherwise("[TERM]")
-    text = F.col("text")
-    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0))
-    written = F.aggregate(
-        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]), mark(s)).alias("out"))
-        ),
-        lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))),
-    )
-    rich = rich.select("doc_id", "base", "spans", written.alias("text"))
+    rich = _replaced(rich, remove_at)
     if everywhere:
         return rich
     plain = scanned.where(F.size("spans") == 0).select("doc_id", none.alias("base"), none.alias("spans"), "text")

@@ -435,6 +435,8 @@ def test_revealing_terms_everywhere(spark, odd, none):
         text = next(t for i, t in rows if i == r["doc_id"]) or ""
         assert [p for p in terms if text[slice(*p)].lower() == "quentin"] == [m.span() for m in re.finditer("(?i)quentin", text)]
         assert "quentin" not in r["text"].lower()
+    joined = pii.sanitise(df, everywhere=True, few=0).collect()
+    assert sorted(str((r["doc_id"], r["base"], r["spans"], r["text"])) for r in joined) == sorted(str((r["doc_id"], r["base"], r["spans"], r["text"])) for r in out)
     lean = pii.sanitise(df, everywhere=True, with_text=False).collect()
     assert sorted(str((r["doc_id"], r["spans"])) for r in lean) == sorted(str((r["doc_id"], r["spans"])) for r in out)
     assert pii.sanitise(odd, everywhere=True).count() == odd.count() and pii.sanitise(none, everywhere=True).count() == 0
