@@ -3,14 +3,19 @@
 Instead of walking up from every candidate, flags spread down from the source
 particles: a particle is flagged once, so the work is linear in the number of
 mother links however many candidates share an ancestor, and cycles end by
-themselves. Each round is one join on (event, particle); its result is cut
-from the lineage in the shared folder.
+themselves. Links never leave their event: after one shuffle by event a task
+follows them to the end over arrays, many events at a time, however many
+generations there are. Events of more links than a task should hold go
+generation by generation, a join each, cut from the lineage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,16 +56,94 @@ def mother_links(particles: DataFrame) -> DataFrame:
     return links.join(mothers, ["event_id", "mother"])
 
 
-def spread_down(links: DataFrame, seeds: DataFrame, keys: Sequence[str] = KEY, max_rounds: int = 10_000) -> DataFrame:
+#: Links of an event that one task follows; about 100 MB of arrays.
+MOST_LINKS = 1 << 21
+
+
+def spread_down(links: DataFrame, seeds: DataFrame, keys: Sequence[str] = KEY, *, most_links: int = MOST_LINKS) -> DataFrame:
     """Least fixpoint: seeds plus every child of a flagged mother along `links`.
 
-    `links` has (keys[:-1]..., mother, child), `seeds` has `keys`. The links are
-    cut from their lineage once, so a round reads them and joins; there are as
-    many rounds as generations. Beyond max_rounds it raises, it drops nothing.
+    `links` has (keys[:-1]..., mother, child), `seeds` has `keys`; null keys
+    reach nothing. Both meet in one shuffle by event. Events beyond
+    `most_links` links, counted map-side first, are followed by joins.
     """
     group = list(keys[:-1])
+    links, seeds = links.select(*group, "mother", "child").dropna(), seeds.select(*keys).dropna().distinct()
+    long = cut(links.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > most_links).select(*group))
+    if long.isEmpty():
+        return _followed(links, seeds, keys)
+    usual = _followed(links.join(long, group, "left_anti"), seeds.join(long, group, "left_anti"), keys)
+    return usual.unionByName(_rounds(links.join(long, group, "left_semi"), seeds.join(long, group, "left_semi"), keys))
+
+
+def _followed(links: DataFrame, seeds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Flagged particles, whole events at a time inside a task."""
+    group, last = list(keys[:-1]), keys[-1]
+    both = links.selectExpr(*group, "bigint(mother) as mother", "bigint(child) as child").unionByName(
+        seeds.selectExpr(*group, "cast(null as bigint) as mother", f"bigint({last}) as child")
+    )
+    kinds = dict(seeds.dtypes)
+
+    def flagged(rows: pa.Table) -> pa.RecordBatch:
+        """Complete events: number their particles, then flag children of new ones until there are none."""
+        event = np.zeros(rows.num_rows, np.int64)
+        for k in group:
+            event = np.unique(event * (rows.num_rows + 1) + rows.column(k).combine_chunks().dictionary_encode().indices.to_numpy(), return_inverse=True)[1]
+        child, mother = rows.column("child").to_numpy(), rows.column("mother")
+        is_link = mother.is_valid().to_numpy()
+        value = np.where(is_link, pc.fill_null(mother, 0).to_numpy(), child)
+        names, code = np.unique(np.concatenate([child, value]), return_inverse=True)
+        node, at = np.unique(np.tile(event, 2) * len(names) + code, return_inverse=True)
+        to, by = at[: len(child)], at[len(child) :]
+        order = np.argsort(by[is_link], kind="stable")
+        to_sorted, by_sorted = to[is_link][order], by[is_link][order]
+        first = np.searchsorted(by_sorted, np.arange(len(node) + 1))
+        seen = np.zeros(len(node), bool)
+        new = np.unique(to[~is_link])
+        while len(new):
+            seen[new] = True
+            n = first[new + 1] - first[new]
+            ends = np.cumsum(n)
+            reach = to_sorted[np.repeat(first[new] - ends + n, n) + np.arange(int(ends[-1]))]
+            new = np.unique(reach[~seen[reach]])
+        hit = np.flatnonzero(seen)
+        # one row of each flagged particle
+        row = np.zeros(len(node), np.int64)
+        row[at] = np.tile(np.arange(rows.num_rows), 2)
+        out = {k: rows.column(k).take(pa.array(row[hit])).combine_chunks() for k in group}
+        return pa.RecordBatch.from_pydict(out | {last: pa.array(names[node[hit] % len(names)])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            same = np.ones(batch.num_rows - 1, bool)
+            for k in group:
+                x = batch.column(k)
+                same &= pc.equal(x.slice(1), x.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(~same) + 1
+            if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in group):
+                yield flagged(pa.Table.from_batches(held))
+                held = []
+            if len(starts):
+                held.append(batch.slice(0, int(starts[-1])))
+                yield flagged(pa.Table.from_batches(held))
+                held = []
+                batch = batch.slice(int(starts[-1]))
+            held.append(batch)
+        if held:
+            yield flagged(pa.Table.from_batches(held))
+
+    found = both.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in group), f"{last} bigint"]))
+    return found.selectExpr(*group, f"cast({last} as {kinds[last]}) as {last}")
+
+
+def _rounds(links: DataFrame, seeds: DataFrame, keys: Sequence[str], max_rounds: int = 10_000) -> DataFrame:
+    """The same generation by generation. Beyond max_rounds it raises, it drops nothing."""
+    group = list(keys[:-1])
     links = cut(links)
-    reached = frontier = cut(seeds.select(*keys).distinct())
+    reached = frontier = cut(seeds)
     for _ in range(max_rounds):
         if frontier.isEmpty():
             return reached

@@ -248,12 +248,22 @@ def id_digest(spark, sf):
     ).select("job_id", "n", "sequence_sha256")
 
 
-@query("A23_weight_payload_digest")
+# the weights here lie between 2**-32 and 2**32, so their rung is 0 or -1
+@query(
+    "A23_weight_payload_digest",
+    EV + ", x as (select job_id, source_event_id, channel_code, w, case when abs(w) >= 1 then 0 else -1 end as k, "
+    "case when abs(w) >= 1 then w else w * 4294967296e0 end as v from ev), "
+    "y as (select job_id, sha256(concat_ws('|', strlen(source_event_id::varchar) || ':' || source_event_id::varchar, "
+    "case when w = 0 then '0/0/0/0' else concat_ws('/', k, trunc(v)::bigint, trunc((v - trunc(v)) * 4294967296e0)::bigint, "
+    "(((v - trunc(v)) * 4294967296e0 - trunc((v - trunc(v)) * 4294967296e0)) * 4294967296e0)::bigint) end, "
+    "strlen(channel_code::varchar) || ':' || channel_code::varchar)) as h from x) select job_id, count(*) as n, "
+    + ", ".join(f"(sum(('0x' || substr(h, {16 * i + 1}, 16))::ubigint) % 18446744073709551616::hugeint)::varchar as digest_{i}" for i in range(4))
+    + " from y group by job_id",
+)
 def payload_digest(spark, sf):
-    """Order-free fingerprint of each job's weights (hash differs between engines)."""
-    return events(spark, sf).groupBy("job_id").agg(
-        F.expr(f"{identity.payload_digest(['source_event_id', 'w'])} as payload")
-    )
+    """Order-free fingerprint of each job's rows."""
+    out = identity.payload_digest(events(spark, sf), keys=["job_id"], columns=["source_event_id", "w", "channel_code"])
+    return out.select("job_id", "n", *[F.col(f"digest_{i}").cast("string").alias(f"digest_{i}") for i in range(4)])
 
 
 @query(

@@ -259,3 +259,55 @@ def test_records_are_numbered_without_moving_the_text(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert rows == [(i, f"r{i}", 4999) for i in range(5000)]
     assert not any("record" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_payload_digest_ignores_order_only(spark):
+    from leptide.functions.identity import payload_digest
+
+    rows = [(1, 5, 0.1, "a"), (1, 6, -2.5e300, None), (1, 5, 0.1, "a"), (2, None, float("nan"), ""), (2, 7, float("-inf"), "a|1:b"), (2, 8, None, "-")]
+    df = spark.createDataFrame(rows, "k int, i long, x double, s string")
+    digest = lambda d: {r["k"]: tuple(r)[1:] for r in payload_digest(d, keys=["k"], columns=["i", "x", "s"]).collect()}
+    want = digest(df)
+    assert digest(df.repartition(5).orderBy("x")) == want and want[1][0] == 3
+    for i in range(len(rows)):
+        for j, other in ((1, 99), (2, 1.25), (3, "b")):
+            changed = [list(r) for r in rows]
+            changed[i][j] = other
+            assert digest(spark.createDataFrame(changed, "k int, i long, x double, s string"))[rows[i][0]] != want[rows[i][0]]
+        break
+    once = digest(spark.createDataFrame(rows[:2] + rows[3:], "k int, i long, x double, s string"))
+    assert once[1] != want[1] and once[2] == want[2]
+
+
+@pytest.mark.parametrize("most", [1 << 21, 0])
+def test_flags_reach_all_descendants(spark, most):
+    """Deep chains, diamonds, cycles, several events and flavours, in a task and by joins."""
+    import random
+
+    from leptide.operators import ancestry
+
+    rng, links, seeds = random.Random(3), [], []
+    deep = 1000 if most else 6
+    links += [(0, 11, i, i + 1) for i in range(deep)] + [(0, 13, i + 1, i) for i in range(3)]
+    seeds += [(0, 11, 0), (0, 13, 2), (7, 11, 4), (3, 11, -5)]
+    for e in range(1, 30):
+        links += [(e, rng.choice([11, 13]), rng.randrange(-3, 20), rng.randrange(-3, 20)) for _ in range(rng.randrange(40))]
+        seeds += [(e, rng.choice([11, 13]), rng.randrange(20)) for _ in range(rng.randrange(3))]
+    known = {}
+    for e, f, m, c in links:
+        known.setdefault((e, f, m), []).append((e, f, c))
+    want, todo = set(), list(seeds)
+    while todo:
+        x = todo.pop()
+        if x not in want:
+            want.add(x)
+            todo += known.get(x, [])
+    a = spark.createDataFrame(links, "event_id long, flavor int, mother int, child int").repartition(6)
+    b = spark.createDataFrame(seeds + seeds[:2], "event_id long, flavor int, idx int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        got = [tuple(r) for r in ancestry.spread_down(a, b, ("event_id", "flavor", "idx"), most_links=most).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(set(got)) and set(got) == want
+    assert ancestry.spread_down(a.limit(0), b.limit(0), ("event_id", "flavor", "idx"), most_links=most).count() == 0
