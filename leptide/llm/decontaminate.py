@@ -74,8 +74,8 @@ class BitMap:
 
 
 def _bit_map(hashes: DataFrame) -> BitMap:
-    """Bits set for the hashes in column `x`: 16 or more for each, between 2**16 and 2**MOST_BITS."""
-    bits = min(MOST_BITS, max(16, (16 * hashes.count()).bit_length()))
+    """Bits set for the hashes in column `x`: 128 for each, between 2**16 and 2**MOST_BITS."""
+    bits = min(MOST_BITS, max(16, (128 * hashes.count()).bit_length()))
     size = (1 << bits) // 64
     cell = F.shiftrightunsigned("x", 6).bitwiseAND(size - 1)
     rows = hashes.select(cell.alias("cell"), F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
