@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bridge
-from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS
+from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS, NOMINAL_UNITS, NORMALIZATION_CONTRACT, WEIGHTING_STRATEGY
 from ..functions import identity
 from ..functions.statistics import mean_error
 from ..operators import moments, ordering
@@ -309,6 +309,64 @@ def _campaign(spark, sf):
     return ev
 
 
+def _runs(spark, sf):
+    """Run rows of the bridge campaign with the columns that documents repeat."""
+    ev = _campaign(spark, sf)
+    norm = moments.normalization_moments(ev.selectExpr("*", "'accepted' as phase_space"))
+    names = {**merge_campaign.NORMALIZATION, **merge_campaign.EFFECTIVE}
+    runs = moments.run_summary(ev).join(norm.selectExpr(*JOB, *[f"{v} as {k}" for k, v in names.items()]), list(JOB))
+    return runs.selectExpr(
+        "*", "job_id + 1 as generation_seed", "job_id + 1000001 as delphes_seed", "job_id + 7 as run_number", "13600D as ecm_energy_gev",
+        "if(job_id % 2 = 0, 23, 0) as athgeneration_release_major", "0 as athgeneration_release_minor", "if(job_id % 2 = 0, 53, 0) as athgeneration_release_patch",
+    )
+
+
+JOB = ("campaign_id", "sample_code", "job_id")
+#: Damage of a job's document by job_id % 13.
+_DAMAGE = {
+    1: "document.provenance.lhe_contract.sumw_generated", 2: "document.provenance.generation.seed", 3: "document.provenance.lhe_contract.lhe_init.idwtup",
+    4: "document.provenance.simulation.random_seed", 5: "document.release", 6: "document.release", 7: "document.object", 8: "document.absolute_sums",
+    9: "document.provenance.generation.events", 10: "document.one_a_run", 11: "document.provenance.lhe_contract.normalization_contract",
+}
+
+
+@query(
+    "J05_Q04_runs_against_documents",
+    EV + ", j as (select distinct job_id from ev), f as (select job_id, case job_id % 13 "
+    + " ".join(f"when {k} then '{v}'" for k, v in _DAMAGE.items()) + " end as rule from j) "
+    "select rule, '20260902/0/' || job_id as subject from f where rule is not null "
+    "union all select 'document.provenance.lhe_contract.inclusive_cross_section_pb', '20260902/0/' || job_id from j where job_id % 13 = 12",
+)
+def runs_documents(spark, sf):
+    """Documents of every job, some damaged by a rule of the job number, against the run rows."""
+    from ..operators import job_documents
+    from ..session import cut
+
+    runs = cut(_runs(spark, sf))
+    at = lambda k, bad, good: f"if(job_id % 13 = {k}, {bad}, {good})"
+    contract = {
+        "normalization_contract": at(11, "'other'", f"'{NORMALIZATION_CONTRACT}'"), "nominal_weight_units": f"'{NOMINAL_UNITS}'",
+        "lhe_weighting_strategy": str(WEIGHTING_STRATEGY), "lhe_init": f"named_struct('idwtup', {at(3, '3', str(WEIGHTING_STRATEGY))})",
+        "generated_lhe_events": "normalization_generated_lhe_events", "accepted_lhe_events": "normalization_accepted_lhe_events",
+        "sumw_generated": at(1, "normalization_sumw_generated_pb + 1", "normalization_sumw_generated_pb"), "sumw2_generated": "normalization_sumw2_generated_pb2",
+        "sumw_accepted": "normalization_sumw_accepted_pb", "sumw2_accepted": "normalization_sumw2_accepted_pb2",
+        "sumabsw_generated": "normalization_sumabsw_generated_pb", "sumabsw_accepted": at(8, "normalization_sumabsw_accepted_pb * 2", "normalization_sumabsw_accepted_pb"),
+        "inclusive_cross_section_pb": at(12, "inclusive_lhe_cross_section_pb * (1 + 1e-9)", "inclusive_lhe_cross_section_pb"),
+        "filtered_cross_section_pb": "effective_filtered_cross_section_pb",
+    }
+    generation = {
+        "seed": at(2, "null", "generation_seed"), "events": at(9, "event_count + 1", "event_count"), "first_event": "event_number_start", "run_number": "run_number",
+        "ecm_energy_gev": "ecm_energy_gev", "generator_backend": at(5, "'unknown'", "if(job_id % 2 = 0, 'athgeneration', 'standalone')"),
+        "athgeneration_release": "if(job_id % 13 = 6, '23.0.x', if(job_id % 2 = 0, '23.0.53', null))",
+    }
+    struct = lambda d: "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in d.items()) + ")"
+    document = struct({"provenance": struct({"lhe_contract": struct(contract), "generation": struct(generation), "simulation": struct({"random_seed": at(4, "'x'", "cast(delphes_seed as string)")})})})
+    docs = runs.selectExpr(*JOB, f"if(job_id % 13 = 7, '[1, 2', to_json({document})) as document")
+    docs = docs.unionByName(docs.where("job_id % 13 = 10"))
+    found = job_documents.runs_against_documents(runs, docs)
+    return found.select("rule", "subject").distinct()
+
+
 @query(
     "A04_U01_Q03_campaign_merge",
     POOL.replace("label='accepted'", "true") + " select " + d("s/n", "cross_section") + ", n as event_count, n as truth_valid, "
