@@ -72,7 +72,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_minhash_near_dup", near_dup.SQL)
 def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of two-word shingle sets with a similarity of 0.8 or more."""
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    out = near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op5_perplexity_rules")

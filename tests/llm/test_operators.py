@@ -440,3 +440,26 @@ def test_revealing_terms_everywhere(spark, odd, none):
     lean = pii.sanitise(df, everywhere=True, with_text=False).collect()
     assert sorted(str((r["doc_id"], r["spans"])) for r in lean) == sorted(str((r["doc_id"], r["spans"])) for r in out)
     assert pii.sanitise(odd, everywhere=True).count() == odd.count() and pii.sanitise(none, everywhere=True).count() == 0
+
+
+def test_one_id_with_several_texts_is_linked_by_each(spark):
+    """(1, a), (5, a), (5, b): the copy goes, the text that stands once stays."""
+    import corpus_pipeline
+
+    a, b = prose(1, 90), prose(2, 90)
+    rows = [(1, a), (5, a), (5, b), (7, b + " tail"), (8, prose(3, 50)), (8, prose(4, 50)), (8, prose(4, 50)), (None, a), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(df).collect()]
+    assert sorted(found, key=repr) == sorted(
+        [(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False), (8, 8, True), (8, 8, True), (8, 8, True), (None, None, False), (9, 9, True), (9, 9, True)], key=repr
+    )
+    left = [tuple(r) for r in corpus_pipeline.near_dup_stage(spark, df, "").collect()]
+    assert sorted(left, key=repr) == sorted([r for r in rows if r not in ((5, a), (7, b + " tail"))], key=repr)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(3)
+    for n, most in ((1, 5), (7, 40), (30, 3000)):
+        sets = [np.unique(rng.integers(0, most, rng.integers(1, most), dtype=np.uint64)) for _ in range(n)]
+        got = near_dup.common_counts(sets)
+        assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(n) for j in range(n) if i != j)
