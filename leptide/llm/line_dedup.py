@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, saved
+from .decontaminate import _bit_map, _in_map
 
 LONG_WORDS = 50
 #: A line ends a chunk if the rolling hash's first hex digit is one of these (5 in 16).
@@ -56,7 +57,7 @@ def chunks(text: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chunks, n_removed, text) for every row of docs (doc_id, text).
 
-    The first occurrence, by doc_id, text digest and place, stays. Rows of one
+    The first occurrence, by doc_id, hash of the text and place, stays. Rows of one
     id and text are one document: a chunk at the same place in them is the same
     occurrence. Rows of one id, or of none, with different texts are documents
     of their own. Null texts stay null, with one empty chunk; an empty table
@@ -68,7 +69,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def _row(text: Column) -> Column:
     """Tells the texts of one doc_id apart."""
-    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def removed_chunks(docs: DataFrame) -> DataFrame:
@@ -92,7 +93,11 @@ def rebuild(docs: DataFrame, gone: DataFrame) -> DataFrame:
     g = gone.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), F.col("places").alias("gone_places"))
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (_row(F.col("row.text")) == F.col("gone_row"))
-    out = rows.join(g, same, "left").select("row", "gone_places", chunks(F.col("row.text")).alias("chunks"))
+    # only documents that may have lost something move to where their places are
+    held = _in_map(_bit_map(gone.select(F.xxhash64("doc_id", "row").alias("x"))), F.xxhash64(F.col("row.doc_id"), _row(F.col("row.text"))))
+    touched = rows.where(held).join(g, same, "left").select("row", "gone_places")
+    whole = rows.where(~held).withColumn("gone_places", F.lit(None).cast(dict(g.dtypes)["gone_places"]))
+    out = touched.unionByName(whole).select("row", "gone_places", chunks(F.col("row.text")).alias("chunks"))
     left = F.filter("chunks", lambda c, i: ~F.array_contains("gone_places", i))
     text = F.when(F.col("gone_places").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda c: c["text"]), "\n"))
     n_removed = F.when(F.col("gone_places").isNull(), 0).otherwise(F.size("gone_places"))
