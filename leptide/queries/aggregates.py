@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bridge
-from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS, NOMINAL_UNITS, NORMALIZATION_CONTRACT, WEIGHTING_STRATEGY
+from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS, COUNT_FIELDS, LEVELS, NOMINAL_UNITS, NORMALIZATION_CONTRACT, WEIGHTING_STRATEGY
 from ..functions import identity
 from ..functions.statistics import mean_error
 from ..operators import moments, ordering
@@ -309,14 +309,14 @@ def _campaign(spark, sf):
     return ev
 
 
-def _runs(spark, sf):
+def _runs(spark, sf, ev=None):
     """Run rows of the bridge campaign with the columns that documents repeat."""
-    ev = _campaign(spark, sf)
+    ev = _campaign(spark, sf) if ev is None else ev
     norm = moments.normalization_moments(ev.selectExpr("*", "'accepted' as phase_space"))
     names = {**merge_campaign.NORMALIZATION, **merge_campaign.EFFECTIVE}
     runs = moments.run_summary(ev).join(norm.selectExpr(*JOB, *[f"{v} as {k}" for k, v in names.items()]), list(JOB))
     return runs.selectExpr(
-        "*", "job_id + 1 as generation_seed", "job_id + 1000001 as delphes_seed", "job_id + 7 as run_number", "13600D as ecm_energy_gev",
+        "*", "1 as schema_version", "1 as alignment_contract_code", "job_id + 1 as generation_seed", "job_id + 1000001 as delphes_seed", "job_id + 7 as run_number", "13600D as ecm_energy_gev",
         "if(job_id % 2 = 0, 23, 0) as athgeneration_release_major", "0 as athgeneration_release_minor", "if(job_id % 2 = 0, 53, 0) as athgeneration_release_patch",
     )
 
@@ -330,20 +330,9 @@ _DAMAGE = {
 }
 
 
-@query(
-    "J05_Q04_runs_against_documents",
-    EV + ", j as (select distinct job_id from ev), f as (select job_id, case job_id % 13 "
-    + " ".join(f"when {k} then '{v}'" for k, v in _DAMAGE.items()) + " end as rule from j) "
-    "select rule, '20260902/0/' || job_id as subject from f where rule is not null "
-    "union all select 'document.provenance.lhe_contract.inclusive_cross_section_pb', '20260902/0/' || job_id from j where job_id % 13 = 12",
-)
-def runs_documents(spark, sf):
-    """Documents of every job, some damaged by a rule of the job number, against the run rows."""
-    from ..operators import job_documents
-    from ..session import cut
-
-    runs = cut(_runs(spark, sf))
-    at = lambda k, bad, good: f"if(job_id % 13 = {k}, {bad}, {good})"
+def _document(damaged: bool) -> str:
+    """A job's metadata document as a struct of run columns."""
+    at = lambda k, bad, good: f"if(job_id % 13 = {k}, {bad}, {good})" if damaged else good
     contract = {
         "normalization_contract": at(11, "'other'", f"'{NORMALIZATION_CONTRACT}'"), "nominal_weight_units": f"'{NOMINAL_UNITS}'",
         "lhe_weighting_strategy": str(WEIGHTING_STRATEGY), "lhe_init": f"named_struct('idwtup', {at(3, '3', str(WEIGHTING_STRATEGY))})",
@@ -357,16 +346,79 @@ def runs_documents(spark, sf):
     generation = {
         "seed": at(2, "null", "generation_seed"), "events": at(9, "event_count + 1", "event_count"), "first_event": "event_number_start", "run_number": "run_number",
         "ecm_energy_gev": "ecm_energy_gev", "generator_backend": at(5, "'unknown'", "if(job_id % 2 = 0, 'athgeneration', 'standalone')"),
-        "athgeneration_release": "if(job_id % 13 = 6, '23.0.x', if(job_id % 2 = 0, '23.0.53', null))",
+        "athgeneration_release": at(6, "'23.0.x'", "if(job_id % 2 = 0, '23.0.53', null)"),
     }
     struct = lambda d: "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in d.items()) + ")"
-    document = struct({"provenance": struct({"lhe_contract": struct(contract), "generation": struct(generation), "simulation": struct({"random_seed": at(4, "'x'", "cast(delphes_seed as string)")})})})
+    return struct({"provenance": struct({"lhe_contract": struct(contract), "generation": struct(generation), "simulation": struct({"random_seed": at(4, "'x'", "cast(delphes_seed as string)")})})})
+
+
+@query(
+    "J05_Q04_runs_against_documents",
+    EV + ", j as (select distinct job_id from ev), f as (select job_id, case job_id % 13 "
+    + " ".join(f"when {k} then '{v}'" for k, v in _DAMAGE.items()) + " end as rule from j) "
+    "select rule, '20260902/0/' || job_id as subject from f where rule is not null "
+    "union all select 'document.provenance.lhe_contract.inclusive_cross_section_pb', '20260902/0/' || job_id from j where job_id % 13 = 12",
+)
+def runs_documents(spark, sf):
+    """Documents of every job, some damaged by a rule of the job number, against the run rows."""
+    from ..operators import job_documents
+    from ..session import cut
+
+    runs = cut(_runs(spark, sf))
+    document = _document(True)
     docs = runs.selectExpr(*JOB, f"if(job_id % 13 = 7, '[1, 2', to_json({document})) as document")
     docs = docs.unionByName(docs.where("job_id % 13 = 10"))
     found = job_documents.runs_against_documents(runs, docs)
     return found.select("rule", "subject").distinct()
 
 
+def _job_events(spark, sf):
+    """All 255 columns of the jobs' Events."""
+    from ..operators.levels import lhe_status
+
+    ev = bridge.analysis_events(spark, sf).selectExpr(
+        "*", "i % 250 as lhe_event_index", "i as hepmc_event_number", "i as delphes_event_number", "i % 250 as hepmc_entry", "i % 250 as delphes_entry", "w * 0.5D as weight_delphes",
+        "abs(w) as cross_section_pb_delphes", "abs(w) / 10D as cross_section_error_pb_delphes", "true as has_lhe", "true as has_hepmc", "true as has_delphes",
+        "0 as lhe_n_alternative_weights",
+        *[f"int({l}_topology_valid) * {2 if c.endswith('s') and c[-2] != 'u' else 1} as {l}_{c}" for l in LEVELS for c in COUNT_FIELDS],
+    )
+    return identity.add_event_uid(ev.withColumn("lhe_status", F.expr(lhe_status())), b"leptide.events.v1\0")
+
+
+@query(
+    "U01_K01_K03_K04_jobs_to_campaign",
+    EV + ", j as (select *, job_id % 13 as m from ev), g as (select * from j where m not in (3, 5, 7)), "
+    "b as (select count(distinct job_id) filter (where m = 3) as c, count(distinct job_id) filter (where m = 5) as d, count(distinct job_id) filter (where m = 7) as e from j) "
+    "select count(distinct job_id) as jobs, count(*) as n, cast(255 as bigint) as event_columns, cast(53 as bigint) as run_columns, " + d("sum(w)/count(*)", "cross_section")
+    + ", cast(any_value(2 * b.c + 3 * b.d + b.e) as bigint) as findings, true as document_holds from g, b",
+)
+def jobs_to_campaign(spark, sf):
+    """Write the outputs of all jobs, some faulty, read them back by path and merge what is whole."""
+    from ..plans import campaign_jobs
+    from ..session import cut, scratch_path
+    from ..sinks.tables import event_schema, run_schema
+
+    folder = scratch_path(spark, "jobs")
+    ev = cut(_job_events(spark, sf))
+    runs = cut(_runs(spark, sf, ev))
+    docs = runs.selectExpr(*JOB, f"to_json({_document(False)}) as document")
+    # job_id % 13: 3 names columns of its own, 5 has no document, 7 has no events
+    campaign_jobs.write_jobs(ev.where("job_id % 13 <> 7"), runs, docs.where("job_id % 13 not in (3, 5)"), folder)
+    other = docs.where("job_id % 13 = 3").select(
+        F.expr("""concat(rtrim('}', document), '}}, "tables": {"Events": "other", "Runs": "other"}}')""").alias("value"), campaign_jobs.place().alias(campaign_jobs.DIRECTORY)
+    )
+    other.repartition(campaign_jobs.DIRECTORY).write.mode("append").partitionBy(campaign_jobs.DIRECTORY).text(f"{folder}/Metadata")
+    merged, document = campaign_jobs.merge_jobs(spark, folder, check=False)
+    found, text = merged.findings.agg(F.count("*")).scalar(), document.scalar()
+    held = "from_json(doc, 'event_count bigint, source_job_count bigint, source_documents bigint, created_utc string')"
+    return merged.summary.withColumns({"found": found, "doc": text}).withColumn("held", F.expr(held)).selectExpr(
+        "source_job_count as jobs", "event_count as n", f"bigint({len(event_schema())}) as event_columns", f"bigint({len(run_schema())}) as run_columns",
+        r("effective_filtered_cross_section_pb", "cross_section"), "found as findings",
+        "held.event_count = event_count and held.source_job_count = source_job_count and held.source_documents = source_job_count "
+        "and held.created_utc rlike '^[0-9-]{10}T[0-9:]{8}Z$' as document_holds",
+    )
+
+
 @query(
     "A04_U01_Q03_campaign_merge",
     POOL.replace("label='accepted'", "true") + " select " + d("s/n", "cross_section") + ", n as event_count, n as truth_valid, "
