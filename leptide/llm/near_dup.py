@@ -52,10 +52,30 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return best
 
 
+@lru_cache(maxsize=4)
+def _narrow_functions(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = np.random.default_rng(65).integers(0, 1 << 32, (2, bits), dtype=np.uint32)
+    return seeds[0], seeds[1] | np.uint32(1)
+
+
+def sketch(hashes: np.ndarray, bits: int) -> list[int]:
+    """One bit of the smallest value of each of `bits` 32-bit hash functions, in longs."""
+    seed, factor = _narrow_functions(bits)
+    part = (hashes >> np.uint64(32)).astype(np.uint32)
+    best, rows = np.full(bits, ~np.uint32(0)), max(16, (1 << 19) // bits)  # 2 MB at a time
+    held = np.empty((min(rows, len(part)), bits), np.uint32)
+    for i in range(0, len(part), rows):
+        x = part[i : i + rows, None]
+        out = held[: len(x)]
+        np.multiply(np.bitwise_xor(x, seed, out=out), factor, out=out)
+        np.minimum(best, out.min(axis=0), out=best)
+    return np.packbits(mix(best.astype(np.uint64)) & np.uint64(1) != 0).view(np.int64).tolist()
+
+
 def describe(docs: DataFrame, *, width: int, coordinates: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, set_key, pairs, s0..s3); without words: 0 and nulls.
 
-    The first `coordinates` of BITS coordinates give the pairs, one bit of each the sketch.
+    The coordinates give the pairs; the sketch has functions of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,10 +88,10 @@ def describe(docs: DataFrame, *, width: int, coordinates: int) -> DataFrame:
                 if not len(s):
                     keys.append(None), pairs.append(None), sketches.append((None,) * len(SKETCH))
                     continue
-                low = signature(s, BITS)
+                low = signature(s, coordinates)
                 keys.append(_set_key(s))
-                pairs.append(mix(low[:coordinates] ^ salt).view(np.int64))
-                sketches.append(tuple(sketch(low)))
+                pairs.append(mix(low ^ salt).view(np.int64))
+                sketches.append(tuple(sketch(s, BITS)))
             cols = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(keys, pa.binary()), "pairs": pa.array(pairs, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(cols | {c: pa.array([x[i] for x in sketches], pa.int64()) for i, c in enumerate(SKETCH)})
 
@@ -90,11 +110,6 @@ def likely(a: str, b: str, percent: int) -> Column:
     return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)") & agreeing(a, b, SKETCH, percent)
 
 
-def sketch(low: np.ndarray) -> list[int]:
-    """One bit of each coordinate of a signature, in longs."""
-    return np.packbits(mix(low) & np.uint64(1) != 0).view(np.int64).tolist()
-
-
 #: Sets that one side of a block holds.
 BLOCK = 64
 
@@ -196,7 +211,7 @@ def details(docs: DataFrame, nodes: DataFrame, *, width: int) -> DataFrame:
         for batch in batches:
             found = [(n, set_of(t.as_py(), k.as_py(), width)) for n, k, t in zip(batch.column("node"), batch.column("set_key"), batch.column("text"))]
             found = [(n, s) for n, s in found if s is not None]
-            longs = [sketch(signature(s, 64 * len(LONG))) for _, s in found]
+            longs = [sketch(s, 64 * len(LONG)) for _, s in found]
             cols = {"node": pa.array([n.as_py() for n, _ in found], pa.int64()), "set": pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(cols | {c: pa.array([x[i] for x in longs], pa.int64()) for i, c in enumerate(LONG)})
 
