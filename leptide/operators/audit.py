@@ -465,18 +465,14 @@ def aligned_weight_rules(events: DataFrame, weights: DataFrame, size: int) -> Fi
 def ledger_rules(jobs: DataFrame, *, max_job_id: int, max_seed: int, max_event: int, max_events_per_job: int) -> Findings:
     """Campaign ledger: IDs and seeds unique and in range, event intervals disjoint.
 
-    Reads job_id, seed, first_event and events. Intervals are compared with
-    their successor in the order of first_event, over ranges of that column.
+    Reads job_id, seed, first_event and events. An interval is compared with
+    the furthest end of all that begin before it, or with it under a smaller
+    job_id: nested intervals are found as well.
     """
-    from .ordering import with_previous
+    from .ordering import with_earlier_max
 
     last = jobs.withColumn("last_event", F.expr("first_event + events - 1"))
-    # the running maximum of the last events equals the predecessor's unless a
-    # predecessor already overlaps, which is then itself a finding
-    chained = with_previous(
-        last.withColumn("_one", F.lit(0)), ["_one"], "first_event", "last_event",
-        width=max(1, max_events_per_job) * 1024,
-    )
+    chained = with_earlier_max(last, "first_event", "last_event", tie="job_id", name="previous", width=max(1, max_events_per_job) * 1024)
     return combine(
         unique(jobs, ["job_id"], "ledger.job_id"),
         unique(jobs, ["seed"], "ledger.seed"),

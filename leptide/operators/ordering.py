@@ -57,6 +57,33 @@ def with_previous(
     )
 
 
+#: Ranges are numbered from -2**(RANGE_LEVELS - 2); halves of halves of all of them.
+RANGE_LEVELS = 48
+
+
+def with_earlier_max(df: DataFrame, order: str, value: str, *, tie: str, name: str = "earlier_max", width: int = RANGE_WIDTH) -> DataFrame:
+    """Largest `value` of all rows before each row by (`order`, `tie`), NULL for the first.
+
+    Rows are scanned inside ranges of the order. What lies before a range is
+    made up of aligned blocks of ranges, one for each bit of its number, whose
+    maxima are aggregated map-side: no task sees all ranges, no key all rows.
+    """
+    cut = df.withColumn("_range", F.floor(F.col(order) / width))
+    top = cut.select((F.col("_range") + (1 << (RANGE_LEVELS - 2))).alias("_at"), "_range", F.col(value).alias("_value")).groupBy("_at", "_range").agg(F.max("_value").alias("_value"))
+    levels = F.sequence(F.lit(0), F.lit(RANGE_LEVELS - 1))
+    block = lambda k, at: F.call_function("shiftright", at, k)
+    blocks = top.select("_value", F.explode(F.transform(levels, lambda k: F.struct(k.alias("level"), block(k, F.col("_at")).alias("block")))).alias("_b"))
+    blocks = blocks.groupBy("_b.level", "_b.block").agg(F.max("_value").alias("_most"))
+    before = F.filter(levels, lambda k: block(k, F.col("_at")) % 2 == 1)
+    needed = top.select("_range", F.explode(F.transform(before, lambda k: F.struct(k.alias("level"), (block(k, F.col("_at")) - 1).alias("block")))).alias("_b"))
+    carried = needed.select("_range", "_b.level", "_b.block").join(blocks, ["level", "block"]).groupBy("_range").agg(F.max("_most").alias("_carried"))
+    inside = Window.partitionBy("_range").orderBy(order, tie).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        cut.withColumn("_inside", F.max(value).over(inside)).join(carried, "_range", "left")
+        .withColumn(name, F.greatest("_inside", "_carried")).drop("_range", "_inside", "_carried")
+    )
+
+
 def renumber(
     df: DataFrame, keys: Sequence[str], order: str, first_event: str = "first_event",
     *, width: int = RANGE_WIDTH,

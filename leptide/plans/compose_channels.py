@@ -197,6 +197,27 @@ def source_sums(events: DataFrame, runs: DataFrame, summaries: DataFrame) -> Dat
     return audit.rules(both, [SOURCE_CODE], checks)
 
 
+def sources_repooled(events: DataFrame, runs: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Findings of merged sources: run rows pooled anew against the summaries, and all three tables against each other.
+
+    runs carry source_polarization_code and the normalization columns,
+    summaries one row a source. Ratios come from the pooled sums, never from
+    the jobs' own ratios.
+    """
+    from ..operators.moments import pool
+    from .merge_campaign import EFFECTIVE, NORMALIZATION
+
+    fresh = pool(runs.withColumnsRenamed(NORMALIZATION), keys=[SOURCE_CODE])
+    names = {**NORMALIZATION, **EFFECTIVE}
+    stated = summaries.select(SOURCE_CODE, *[F.col(c).alias(f"_{n}") for c, n in names.items()])
+    both = fresh.join(stated, SOURCE_CODE, "full_outer")
+    checks = {}
+    for n in names.values():
+        same = f"{n} = _{n}" if n.endswith("_events") else f"(isnan({n}) and isnan(_{n})) or abs({n} - _{n}) <= 1e-11D * greatest(abs({n}), abs(_{n}))"
+        checks[f"repool.{n}"] = (same, f"_{n}", n)
+    return audit.combine(audit.rules(both, [SOURCE_CODE], checks), source_sums(events, runs, summaries))
+
+
 def compose_channels(
     samples: dict[str, DataFrame], summaries: dict[str, DataFrame], *, check: bool = True
 ) -> Composition:

@@ -152,7 +152,7 @@ def exact_sums(spark, sf):
     )
 
 
-def _component_events(spark, sf):
+def component_events(spark, sf):
     ev = events(spark, sf).withColumn("source_polarization_code", F.col("channel_code"))
     return compose_channels.component_columns(ev, "w")
 
@@ -166,7 +166,7 @@ def _component_events(spark, sf):
     ) + " from ev",
 )
 def component_totals(spark, sf):
-    t = compose_channels.component_totals(_component_events(spark, sf))
+    t = compose_channels.component_totals(component_events(spark, sf))
     return t.selectExpr(
         "event_count as n",
         *[x for s in COMPONENTS for x in (
@@ -175,7 +175,7 @@ def component_totals(spark, sf):
     )
 
 
-def _channel_summaries(spark, sf):
+def channel_summaries(spark, sf):
     """Merge-summary-like rows of the four bridge channels."""
     per = events(spark, sf).groupBy("channel_code", "campaign_id").agg(
         F.expr("count(*) as event_count"), F.expr("count(distinct job_id) as source_job_count"),
@@ -197,7 +197,7 @@ _CH = EV + ", ch as (select channel_code, count(*) as n, count(distinct job_id)
         d(f"x*({coefficient_sql(s)})", f"contribution_{s}", 3) for s in COMPONENTS) + " from ch",
 )
 def channel_contributions(spark, sf):
-    return compose_channels.source_rows(_channel_summaries(spark, sf)).selectExpr(
+    return compose_channels.source_rows(channel_summaries(spark, sf)).selectExpr(
         "source_polarization_code as code", "event_count", "source_job_count",
         *[r(f"contribution_{s}_pb", f"contribution_{s}", 3) for s in COMPONENTS],
     )
@@ -210,8 +210,8 @@ def channel_contributions(spark, sf):
     ) + " from ch",
 )
 def composition_closure(spark, sf):
-    sources = compose_channels.source_rows(_channel_summaries(spark, sf))
-    totals = compose_channels.component_totals(_component_events(spark, sf))
+    sources = compose_channels.source_rows(channel_summaries(spark, sf))
+    totals = compose_channels.component_totals(component_events(spark, sf))
     s = compose_channels.composition_summary(totals, sources)
     return s.selectExpr(
         "event_count",
@@ -221,6 +221,38 @@ def composition_closure(spark, sf):
     )
 
 
+@query(
+    "A09_Q15_sources_repooled",
+    _CH + " select distinct rule, '1' as code from ch, (values ('source.events')) t(rule) where channel_code = 1 "
+    "union all select rule, '2' from (values ('source.nominal'), ('source.scale'), ('repool.filtered_cross_section_pb')) t(rule) "
+    "union all select rule, '3' from (values ('repool.sumw_accepted'), ('repool.filtered_cross_section_pb'), ('repool.filtered_cross_section_mc_error_pb'), ('repool.signed_efficiency')) t(rule)",
+)
+def sources_repooled(spark, sf):
+    """Four merged sources from their run rows against events and summaries; one of each kind of table is damaged."""
+    from ..session import cut
+
+    ev = events(spark, sf).selectExpr("*", "channel_code as source_polarization_code", "w as weight_lhe", "w as weight_nominal_pb")
+    key = ["source_polarization_code", "job_id"]
+    sums = moments.normalization_moments(ev.selectExpr("*", "'accepted' as phase_space"), keys=key)
+    runs = sums.join(moments.weight_totals(ev, keys=key).join(ev.groupBy(*key).agg(F.count("*").alias("event_count")), key), key)
+    runs = cut(runs.withColumnsRenamed({v: k for k, v in {**merge_campaign.NORMALIZATION, **merge_campaign.EFFECTIVE}.items()}))
+    pooled = moments.pool(runs.withColumnsRenamed(merge_campaign.NORMALIZATION), keys=key[:1])
+    names = {v: k for k, v in {**merge_campaign.NORMALIZATION, **merge_campaign.EFFECTIVE}.items()}
+    whole = ["event_count", "positive_weight_count", "negative_weight_count", "zero_weight_count"]
+    kept = runs.groupBy(*key[:1]).agg(F.sum("sumw").alias("_sumw"), *[F.sum(c).alias(c) for c in whole])
+    summaries = pooled.withColumnsRenamed(names).join(kept, key[:1]).withColumn("merged_weight_scale", F.expr("effective_filtered_cross_section_pb / _sumw"))
+    # what is compared is a mean, events carry sums: the nominal weight is scaled
+    ev = ev.join(F.broadcast(summaries.select(key[0], "merged_weight_scale")), key[:1]).withColumn("weight_nominal_pb", F.col("weight_lhe") * F.col("merged_weight_scale"))
+    bad_runs = runs.withColumns({
+        "event_count": F.expr("if(source_polarization_code = 1 and job_id = 0, event_count + 1, event_count)"),
+        "normalization_sumw_accepted_pb": F.expr("normalization_sumw_accepted_pb + if(source_polarization_code = 3 and job_id = 1, 5D, 0D)"),
+    })
+    wrong = "effective_filtered_cross_section_pb"
+    bad_summaries = summaries.withColumn(wrong, F.expr(f"{wrong} * if(source_polarization_code = 2, 1.001D, 1D)")).drop("_sumw")
+    found = compose_channels.sources_repooled(ev, bad_runs, bad_summaries)
+    return found.selectExpr("rule", "subject as code").distinct()
+
+
 @query(
     "U02_T03_composed_events",
     EV + " select i, channel_code as code, " + ", ".join(d(f"w*({coefficient_sql(s)})", s if s[0] == 'm' else f"w_{s}") for s in COMPONENTS)

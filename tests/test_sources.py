@@ -311,3 +311,19 @@ def test_flags_reach_all_descendants(spark, most):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == len(set(got)) and set(got) == want
     assert ancestry.spread_down(a.limit(0), b.limit(0), ("event_id", "flavor", "idx"), most_links=most).count() == 0
+
+
+def test_earlier_max_over_ranges(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(-300, 3000), rng.randrange(5000)) for i in range(400)] + [(400, 10**14, 1), (401, -(10**14), 7)]
+    df = spark.createDataFrame(rows, "id long, at long, v long").repartition(5)
+    got = {r["id"]: r["earlier_max"] for r in ordering.with_earlier_max(df, "at", "v", tie="id", width=50).collect()}
+    most, want = None, {}
+    for i, _, v in sorted(rows, key=lambda r: (r[1], r[0])):
+        want[i] = most
+        most = v if most is None else max(most, v)
+    assert got == want
+    plan = ordering.with_earlier_max(df, "at", "v", tie="id", width=50)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
