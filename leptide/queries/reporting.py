@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import bridge
-from ..conventions import HARMONIC_SLUGS
+from ..conventions import HARMONIC_SLUGS, LEVELS
 from ..operators import closure, levels, selection
 from ..operators import histograms as h
-from ..plans import merge_campaign
+from ..plans import build_events, merge_campaign, reports
 from ..session import cut
 from . import d, events, query, r, wrap_sql
-from .derivations import _CUT, _F, _SEL, H
+from .derivations import _CUT, _F, _SEL, EV, H
 
 _PASS = "(reco_present and " + " and ".join(f"({c})" for c in _CUT.values()) + ")"
 # short spectrum list: name -> (checking expression, low, high, bins)
@@ -157,12 +157,25 @@ def line_price_spectrum(spark, sf):
     return b.where("abs(d) > 1e-6D").selectExpr("bin", r(q.value, "ratio"), r(q.variance, "variance"))
 
 
-@query("A12_R02_full_kinematic_report")
+_ALL_OBSERVABLES = [o.name for o in h.observable_table()]
+
+
+@query(
+    "A12_R02_full_kinematic_report",
+    EV + ", t as (select count(*) as n, sum(w) as s, sum(w*w) as q from ev) select level, observable, n, n as in_bins, cast(0 as bigint) as invalid, "
+    + ", ".join([d("s", "sumw", 4), d("q", "sumw2", 3), d("s * 312000e0", "expected_events", 0)])
+    + f" from t, (values ('lhe'), ('dressed')) l(level), (select unnest({_ALL_OBSERVABLES!r}) as observable) o",
+)
 def full_report(spark, sf):
-    """All 77 observables at all levels, 385 histograms in one pass."""
-    ev = bridge.analysis_events(spark, sf)
-    specs = h.observable_table()
-    return h.histograms(h.fill(ev, specs), specs)
+    """The report over all 77 observables at all levels, 385 histograms in one pass: what its bins hold of all events."""
+    report = reports.kinematic_report(bridge.analysis_events(spark, sf), check=False)
+    bins = report.histograms.where("selection = 'all'").groupBy("level", "observable").agg(
+        F.sum("n").alias("in_bins"), F.sum(F.expr("yield_density * (high - low)")).alias("expected_events")
+    )
+    held = report.counters.where("selection = 'all'").join(bins, ["level", "observable"])
+    return held.selectExpr(
+        "level", "observable", "total as n", "in_bins", "invalid", r("sumw", "sumw", 4), r("sumw2", "sumw2", 3), r("expected_events", "expected_events", 0)
+    )
 
 
 _CATEGORY = {
@@ -281,3 +294,34 @@ def closure_evaluation(spark, sf):
         "bigint(bin) as bin", r("model", "model", 4), r("model_variance", "model_variance", 2), r("residual", "residual", 4),
         r("residual_variance", "residual_variance", 2),
     )
+
+
+def _report_events(spark, sf):
+    """All levels, angles rounded as in the checking engine; dressed and RECO momenta are multiples of the generator's."""
+    ev = build_events.kinematic_columns(bridge.with_levels(events(spark, sf)))
+    angles = [f"{level}_{a}" for level in LEVELS for a in ("theta1", "phi1", "theta2", "phi2")]
+    ev = ev.withColumns({a: F.expr(f"if(isnan({a}), {a}, round({a}, 6))") for a in angles})
+    ev = merge_campaign.truth_columns(ev.withColumnRenamed("w", "weight_nominal_pb"))
+    return ev.withColumns({"reconstructed": F.col("reco_present"), "lumi": F.lit(312000.0)})
+
+
+_CONTEXTS = (
+    ", cx as (select level, 'all' as selection, f.* from f, (values ('lhe'), ('dressed')) l(level) "
+    "union all select level, 'selected', f.* from f, (values ('lhe'), ('dressed'), ('reco')) l(level) where sel)"
+)
+
+
+@query(
+    "R04_closure_report",
+    _R + _CONTEXTS + " select level, selection, count(*) as total, count(*) as kept, "
+    + ", ".join([d("sum(w)", "s0", 3)] + [d(f"sum({m})", f"s{a}", 3) for a, m in enumerate(_M, 1)] + [d("sum(w*w)", "v00", 3)]
+                + [d(f"sum(w*{m})", f"v0{a}", 2) for a, m in enumerate(_M, 1)]
+                + [d(f"sum({_M[a - 1]}*{_M[b - 1]})", f"v{a}{b}", 1) for a in range(1, 5) for b in range(a, 5)]) + " from cx group by level, selection",
+)
+def closure_report(spark, sf):
+    """The report's moments and covariance in all five contexts."""
+    report = reports.closure_report(_report_events(spark, sf), variables=["cos_theta1"], check=False)
+    return report.moments.selectExpr(
+        "level", "selection", "total", "kept", *[r(f"s{a}", f"s{a}", 3) for a in range(5)],
+        *[r(f"v{a}{b}", f"v{a}{b}", 1 if a else 2 if b else 3) for a in range(5) for b in range(a, 5)],
+    )
