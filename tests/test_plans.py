@@ -178,3 +178,44 @@ def test_build_events_rejects_bad_streams(spark):
             build_events(*_job(spark, **kw), uid_tag=b"t\0")
         rules = {r.rule for r in build_events(*_job(spark, **kw), uid_tag=b"t\0", check=False).findings.collect()}
         assert needle in rules
+
+
+def test_documents_as_paths(spark):
+    from leptide.operators import job_documents
+
+    docs = [
+        (1, '{"a": 1, "b": {"c": "x", "d": null, "e": [1.5, {"f": true}]}, "g": {}}'), (2, "[1]"), (3, "no json"), (4, None), (5, '{"a": 1e400, "a b": "é"}'),
+    ]
+    df = spark.createDataFrame(docs, "job_id long, document string")
+    leaves, found = job_documents.typed_paths(df, keys=["job_id"])
+    got = {(r.job_id, r.path): (r.kind.split("(")[0], r.text) for r in leaves.where("job_id = 1").collect()}
+    assert got == {
+        (1, "a"): ("BIGINT", "1"), (1, "b.c"): ("STRING", "x"), (1, "b.d"): ("VOID", None), (1, "b.e[0]"): ("DECIMAL", "1.5"), (1, "b.e[1].f"): ("BOOLEAN", "true"),
+    }
+    assert ("a b", "é") in {(r.path, r.text) for r in leaves.where("job_id = 5").collect()}
+    assert {(r.rule, r.subject) for r in found.collect()} >= {("document.object", "2"), ("document.object", "3"), ("document.object", "4")}
+    _, deep = job_documents.typed_paths(df.where("job_id = 1"), keys=["job_id"], depth=2)
+    assert [(r.rule, r.subject) for r in deep.collect()] == [("document.depth", "1/b.e")]
+
+
+def test_rules_against_documents(spark):
+    from leptide.operators.job_documents import Rule, against_rules, typed_paths
+
+    runs = spark.createDataFrame([(1, 5, 2.0, float("nan")), (2, 6, 3.0, 1.0), (3, 7, 4.0, float("nan"))], "job_id long, n long, x double, e double")
+    docs = spark.createDataFrame(
+        [(1, '{"p": {"n": 5, "x": 2.00000000000001, "e": null}, "u": "pb"}'), (2, '{"p": {"n": "6", "x": 3.1, "e": 1}, "u": "fb"}'), (3, '{"p": {"n": 7.5, "x": "nan", "e": 0}}')],
+        "job_id long, document string",
+    )
+    rules = [Rule("p.n", "n"), Rule("p.x", "x", "close"), Rule("p.e", "e", "close or none"), Rule("u", kind="text", fixed="pb")]
+    found = against_rules(runs, typed_paths(docs, keys=["job_id"])[0], rules, keys=["job_id"])
+    assert {(r.rule, r.subject) for r in found.collect()} == {
+        ("document.p.x", "2"), ("document.u", "2"), ("document.p.n", "3"), ("document.p.x", "3"), ("document.p.e", "3"), ("document.u", "3"),
+    }
+
+
+def test_digest_of_a_schema(spark):
+    from leptide.sinks import tables
+
+    assert len(tables.event_schema()) == 255 and len(tables.run_schema()) == 53
+    a, b = (spark.createDataFrame([], s).schema for s in ("a long, b string", "b string, a long"))
+    assert tables.schema_digest(a) != tables.schema_digest(b) and tables.schema_digest(a) == tables.schema_digest(spark.range(1).selectExpr("id as a", "'x' as b").schema)
