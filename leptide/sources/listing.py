@@ -12,7 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 SUCCESS_MARKER = "SUCCESS"
+#: Rows of the split table that are broadcast: about 200 MB with long paths.
+MOST_SPLITS = 1 << 20
 
 
 def read_records(
@@ -41,8 +45,11 @@ def read_records(
         F.coalesce(F.sum("_n").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         (F.sum("_n").over(Window.partitionBy("file")) - 1).alias("last_chunk"),
     )
-    # a row a split: under a millionth of the text, so it is sent to where the text is read
-    return raw.join(F.broadcast(placed), ["file", "_start"]).select(
+    # a row a split: under a millionth of the text. Up to MOST_SPLITS rows, counted, it is sent to
+    # where the text is read; Spark's own estimate of its size is that of the text
+    placed = cut(placed)
+    small = placed.count() <= MOST_SPLITS
+    return raw.join(F.broadcast(placed) if small else placed, ["file", "_start"]).select(
         "file", (F.col("_before") + F.col("_seq") - F.col("_first")).alias("chunk"), "last_chunk", "record"
     )
 

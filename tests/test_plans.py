@@ -172,6 +172,17 @@ def test_build_events_end_to_end(spark):
     assert audit.uid_rules(out.events, b"t\0").count() == 0
 
 
+def test_build_events_finds_a_shifted_stream(spark):
+    """IDs intact, positions not."""
+    lhe, det, jobs = _job(spark)
+    lhe = lhe.withColumn("ordinal", F.expr("dense_rank() over (partition by job_id order by source_event_id)"))
+    good = det.withColumn("ordinal", F.expr("dense_rank() over (partition by job_id order by source_event_id)"))
+    assert build_events(lhe, good, jobs, uid_tag=b"t\0").events.count() == 2
+    bad = good.withColumn("ordinal", F.col("ordinal") + F.expr("if(source_event_id > 2, 1, 0)"))
+    found = build_events(lhe, bad, jobs, uid_tag=b"t\0", check=False).findings.collect()
+    assert [(r.rule, r.subject) for r in found] == [("match.ordinal", "1/7")]
+
+
 def test_build_events_rejects_bad_streams(spark):
     for kw, needle in ((dict(ids=(2, 8)), "match.unmatched"), (dict(numbers=(3, 3)), "detector.number"), (dict(ids=(2, 2)), "detector.unique")):
         with pytest.raises(audit.AuditError, match="match|detector"):
