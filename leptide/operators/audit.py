@@ -358,27 +358,38 @@ def component_tolerance(expected: Sql, sumabsw: Sql) -> Sql:
 # --------------------------------------------------------------------------
 def mask_rules(events: DataFrame, keys: Sequence[str], levels: Sequence[str] = ("lhe", "dressed", "reco")) -> Findings:
     """Masks agree with each other and with the values they describe."""
+    return rules(events, keys, mask_checks(events.columns, levels))
+
+
+def mask_checks(columns: Sequence[str], levels: Sequence[str] = ("lhe", "dressed", "reco")) -> dict[str, tuple[Sql, Sql, Sql]]:
     checks: dict[str, tuple[Sql, Sql, Sql]] = {}
     for level in levels:
         p, c = f"{level}_projection_valid", f"{level}_candidate"
         angles = " + ".join(f"({level}_{a} - {level}_{a})" for a in ("theta1", "phi1", "theta2", "phi2"))
         checks[f"mask.{level}.candidate"] = (f"not {p} or {c}", p, c)
         checks[f"mask.{level}.angles"] = (f"not {p} or {angles} = 0D", f"{level}_theta1", "'finite'")
-    if "reconstructed" in events.columns:
+    if "reconstructed" in columns:
         checks["mask.reconstructed"] = (
             "reconstructed = reco_pass_selection", "reconstructed", "reco_pass_selection",
         )
     for c in ("has_lhe", "has_hepmc", "has_delphes"):
-        if c in events.columns:
+        if c in columns:
             checks[f"mask.{c}"] = (c, c, "true")
-    return rules(events, keys, checks)
+    return checks
 
 
 def weight_rules(events: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> Findings:
     """Weights are finite and their squares do not overflow."""
-    return rules(events, keys, {
-        f"weight.{w}": (f"{w} * {w} - {w} * {w} = 0D", w, "'finite square'") for w in weights
-    })
+    return rules(events, keys, weight_checks(weights))
+
+
+def weight_checks(weights: Sequence[str]) -> dict[str, tuple[Sql, Sql, Sql]]:
+    return {f"weight.{w}": (f"{w} * {w} - {w} * {w} = 0D", w, "'finite square'") for w in weights}
+
+
+def broken(checks: Mapping[str, tuple[Sql, Sql, Sql]]) -> Sql:
+    """Number of rules a row breaks: summed up in a pass that is made anyway, it says which groups need a closer look."""
+    return " + ".join(f"int(not coalesce({ok}, false))" for ok, _, _ in checks.values())
 
 
 def constant_rules(events: DataFrame, columns: Sequence[str], positive: Sequence[str] = ()) -> Findings:

@@ -230,3 +230,11 @@ def test_digest_of_a_schema(spark):
     assert len(tables.event_schema()) == 255 and len(tables.run_schema()) == 53
     a, b = (spark.createDataFrame([], s).schema for s in ("a long, b string", "b string, a long"))
     assert tables.schema_digest(a) != tables.schema_digest(b) and tables.schema_digest(a) == tables.schema_digest(spark.range(1).selectExpr("id as a", "'x' as b").schema)
+
+
+def test_broken_rules_are_counted_in_the_summary_pass(spark):
+
+    checks = {"a": ("x > 0", "x", "'positive'"), "b": ("y", "y", "true")}
+    df = spark.createDataFrame([(1, 1.0, True), (1, None, False), (2, -1.0, True), (3, 2.0, None)], "j int, x double, y boolean")
+    got = {r.j: r.n for r in df.groupBy("j").agg(F.expr(f"sum({audit.broken(checks)}) as n")).collect()}
+    assert got == {1: 2, 2: 1, 3: 1} and audit.rules(df, ["j"], checks).count() == sum(got.values())
