@@ -9,6 +9,7 @@ from ..conventions import COMPONENTS, COMPONENT_WEIGHT_COLUMNS, COUNT_FIELDS, LE
 from ..functions import identity
 from ..functions.statistics import mean_error
 from ..operators import moments, ordering
+from ..operators.job_documents import PLAIN_BACKEND, RELEASED_BACKEND
 from ..plans import compose_channels, merge_campaign
 from . import d, events, query, r, view_sql
 from .derivations import coefficient_sql
@@ -377,7 +378,7 @@ def _document(damaged: bool) -> str:
     }
     generation = {
         "seed": at(2, "null", "generation_seed"), "events": at(9, "event_count + 1", "event_count"), "first_event": "event_number_start", "run_number": "run_number",
-        "ecm_energy_gev": "ecm_energy_gev", "generator_backend": at(5, "'unknown'", "if(job_id % 2 = 0, 'athgeneration', 'standalone')"),
+        "ecm_energy_gev": "ecm_energy_gev", "generator_backend": at(5, "'unknown'", f"if(job_id % 2 = 0, '{RELEASED_BACKEND}', '{PLAIN_BACKEND}')"),
         "athgeneration_release": at(6, "'23.0.x'", "if(job_id % 2 = 0, '23.0.53', null)"),
     }
     struct = lambda d: "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in d.items()) + ")"
