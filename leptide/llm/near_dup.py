@@ -228,6 +228,11 @@ def across_components(lists: DataFrame, placed: DataFrame, docs: DataFrame, node
     rows = saved(rows, "placed")
     mixed = saved(rows.groupBy("pair").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("pair"), "mixed")
     rest = saved(rows.join(mixed, "pair", "left_semi"), "mixed-lists")
+    # only what has a likely partner in another component is looked at closely; a row stops at its first
+    p, q = rest.alias("p"), rest.alias("q")
+    likely_one = F.expr("p.pair = q.pair and p.c <> q.c") & likely("p", "q", percent)
+    met = p.join(q, likely_one, "left_semi").select("node").distinct()
+    rest = saved(rest.join(met, "node", "left_semi"), "met")
     its_lists = rest.groupBy("node").agg(F.collect_set("pair").alias("lists"))  # a prefix at most
     more = details(docs, nodes.join(its_lists.select("node"), "node", "left_semi"), width=width).join(its_lists, "node")
     # one that has too many shingles of its own for any partner goes
