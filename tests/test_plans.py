@@ -12,6 +12,7 @@ from leptide.plans.build_events import build_events
 from leptide.session import scratch_path
 from leptide.sinks.publish import publish
 from leptide.sinks.tables import composed_event_schema, event_schema, merged_event_schema
+from leptide.sources.listing import content_fingerprints
 
 P = math.pi
 EVENTS = [
@@ -88,6 +89,13 @@ def test_publish_merge_verifies_and_refuses_overwrite(spark):
     assert spark.read.parquet(f"{target}/Events").count() == 5
     with pytest.raises(FileExistsError):
         merge_campaign.publish_merge(spark, out, target)
+    # an input that changes between reading and publishing stops it
+    inputs = scratch_path(spark, "inputs")
+    spark.range(3).write.parquet(inputs)
+    before = spark.createDataFrame(content_fingerprints(spark, inputs).collect(), "path string, length long, content_sha256 string")
+    spark.range(1).write.mode("append").parquet(inputs)
+    with pytest.raises(audit.AuditError, match="input.unchanged"):
+        merge_campaign.publish_merge(spark, out, scratch_path(spark, "campaign"), inputs_before=before, inputs=inputs)
     bad = out._replace(events=out.events.withColumn("weight", F.col("weight") * 2))
     other = scratch_path(spark, "campaign")
     with pytest.raises(audit.AuditError):
