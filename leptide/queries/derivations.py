@@ -9,7 +9,7 @@ from ..conventions import COMPONENTS, HARMONIC_SLUGS, LEPTON_PAIRS, LEPTONS, mom
 from ..functions import harmonics, identity, numeric, response, vectors
 from ..operators import levels, moments, selection
 from ..plans import compose_channels, merge_campaign
-from . import SHORT, angle_sql, d, events, lhe_level, query, r, view_sql, wrap_sql
+from . import SHORT, angle_sql, d, decoded_sql, events, lhe_level, query, r, view_sql, wrap_sql
 
 V = f"with {view_sql()}"
 G = f"with {angle_sql()}"
@@ -290,7 +290,7 @@ def _weights_map(spark, sf):
 @query(
     "P21_T02_alternative_weights",
     EV + " select i, '1001,2001' as ids, cast(2 as bigint) as n, "
-    + d("0.9e0*w", "first") + ", " + d("1.1e0*w", "second") + ", i+1 as source_id from ev",
+    + d("0.9e0*w", "first") + ", " + d("1.1e0*w", "second") + f", {decoded_sql('(i+1)*3e0', '3e0')} as source_id from ev",
 )
 def alternative_weights(spark, sf):
     ratio = identity.decode_source_id("weights['AUX_OAP_EVENT_ID']", "weights['AUX_OAP_EVENT_UNIT']")
