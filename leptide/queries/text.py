@@ -12,7 +12,7 @@ from ..sinks import lhe_text
 from ..sinks import publish as sink
 from ..sinks.tables import json_safe
 from ..sources import detector, hepmc, lhe, listing, metadata
-from . import d, events, query, r
+from . import d, decoded_sql, events, fault_sql, query, r
 
 EV = f"with ev as ({bridge.event_view_sql('events')})"
 _CODES = dict(zip(LEPTONS, (11, -11, 13, -13)))
@@ -108,9 +108,12 @@ def _listing(spark, sf):
     return path
 
 
+_PAIR = ("source_event_id*1e0*(3+i)", "(3+i)*1e0")  # the markers of a listing
+
+
 @query(
     "S05_P23_hepmc_listing",
-    EV + " select i % 8 as job_id, source_event_id, cast(null as varchar) as name_fault, cast(null as varchar) as id_fault, "
+    EV + " select i % 8 as job_id, " + decoded_sql(*_PAIR) + " as source_event_id, cast(null as varchar) as name_fault, " + fault_sql(*_PAIR) + " as id_fault, "
     + d("w", "nominal") + ", 41 + row_number() over (partition by i % 8, source_event_id // 16384 order by source_event_id) - 1 as event_number from ev",
 )
 def hepmc_listing(spark, sf):
