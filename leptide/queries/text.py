@@ -128,7 +128,7 @@ def hepmc_listing(spark, sf):
 
 @query(
     "S06_Q21_detector_leaves",
-    EV + " select i, case when w <> 0 then source_event_id end as source_event_id, case when w = 0 then 'zero unit marker' end as id_fault, "
+    EV + " select i, " + decoded_sql("source_event_id*1e0*w", "w") + " as source_event_id, " + fault_sql("source_event_id*1e0*w", "w") + " as id_fault, "
     "cast(case when i % 3 = 0 then 1 else 2 end as bigint) as n_electrons, "
     + d("lhe_raw_muon_minus_px", "mm_px") + ", cast(case when i % 31 = 0 then 1 else 0 end as bigint) as bad_leaves from ev",
 )
