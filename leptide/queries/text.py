@@ -37,7 +37,8 @@ def event_elements(spark, sf):
 
 @query(
     "S01_S03_P22_event_text_parse",
-    EV + " select i, " + d("w", "weight") + ", cast(4 as bigint) as n, source_event_id as comment_id, source_event_id as marker_id, "
+    EV + " select i, " + d("w", "weight") + ", cast(4 as bigint) as n, source_event_id as comment_id, "
+    + decoded_sql("source_event_id*1e0", "1e0") + " as marker_id, "
     + d("0.9e0*w", "alternative") + ", " + d("lhe_raw_electron_minus_px", "em_px") + ", " + d("lhe_raw_muon_plus_E", "mp_e")
     + ", cast(null as varchar) as fault from ev",
 )
