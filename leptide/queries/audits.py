@@ -12,7 +12,7 @@ from ..operators import audit, levels
 from ..plans import compose_channels, merge_campaign
 from . import d, events, query, r
 from .aggregates import JOBS, POOL, job_moments, labelled, merged_totals
-from .derivations import V
+from .derivations import V, coefficient_sql
 
 EV = f"with ev as ({bridge.event_view_sql('events')})"
 
@@ -273,9 +273,11 @@ def campaign_ledger(spark, sf):
 
 @query(
     "Q23_composed_output",
-    EV + ", x as (select i from ev) " + counted(
-        {"written.weight.20_20": "i % 10 = 0", "written.coefficient.20_20": "i % 15 = 0"}, "x"
-    ).replace("where i % 10 = 0", "where i % 10 = 0 or i % 15 = 0") + " union all select 'written.20_20', 1::bigint",
+    EV + f", k as (select i, w, {coefficient_sql('20_20')} as c from ev), x as (select i, w, w*c + case when i % 10 = 0 then 1e0 else 0e0 end as written, "
+    "c + case when i % 15 = 0 then 1e0 else 0e0 end as factor from k) "
+    # an event of weight 0 has product 0 with any coefficient
+    + counted({"written.weight.20_20": "written <> w*factor", "written.coefficient.20_20": "i % 15 = 0"}, "x")
+    + " union all select 'written.20_20', 1::bigint",
 )
 def composed_output(spark, sf):
     """The rules on the written tables, with weights and coefficients of one component damaged."""
