@@ -9,7 +9,7 @@ from ..conventions import COMPONENTS, HARMONIC_SLUGS, LEPTON_PAIRS, LEPTONS, mom
 from ..functions import harmonics, identity, numeric, response, vectors
 from ..operators import levels, moments, selection
 from ..plans import compose_channels, merge_campaign
-from . import SHORT, angle_sql, d, decoded_sql, events, lhe_level, query, r, view_sql, wrap_sql
+from . import SHORT, angle_sql, d, d_angle, decoded_sql, events, lhe_level, query, r, r_angle, view_sql, wrap_sql
 
 V = f"with {view_sql()}"
 G = f"with {angle_sql()}"
@@ -371,13 +371,15 @@ def component_weights(spark, sf):
 @query(
     "P34_harmonic_coordinates",
     H + " select i, " + ", ".join([
-        d("p1", "phi1"), d("c1", "cos_theta1"), d(wrap_sql("p2-p1"), "delta_phi"),
-        d(wrap_sql(f"{wrap_sql('p2-p1')} + case when c1*c2 < 0 then 3.141592653589793e0 else 0e0 end"), "folded_delta_phi"),
+        d_angle(wrap_sql("p1"), "phi1"), d("c1", "cos_theta1"), d_angle(wrap_sql("p2-p1"), "delta_phi"),
+        d_angle(wrap_sql(f"{wrap_sql('p2-p1')} + case when c1*c2 < -1e-12 then 3.141592653589793e0 else 0e0 end"), "folded_delta_phi"),
     ]) + " from h",
 )
 def harmonic_coordinates(spark, sf):
-    c = harmonics.coordinates(*[f"lhe_{a}" for a in harmonics.ANGLES])
-    return lhe_level(spark, sf).selectExpr("i", *[r(c[n], n) for n in ("phi1", "cos_theta1", "delta_phi", "folded_delta_phi")])
+    c = harmonics.coordinates(*[f"lhe_{a}" for a in harmonics.ANGLES], zero=1e-12)
+    return lhe_level(spark, sf).selectExpr(
+        "i", r_angle(c["phi1"], "phi1"), r(c["cos_theta1"], "cos_theta1"), *[r_angle(c[n], n) for n in ("delta_phi", "folded_delta_phi")]
+    )
 
 
 @query("P36_multiplicity_marker", V + " select i, i % 4 <> 0 as marker from v")
