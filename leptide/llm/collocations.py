@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from .common import _BASE, _INVERSE, _LOWER, _VALUE, _powers, mix, saved, union_all
 
 #: Bytes that are looked at together; a piece of text is never divided.
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Words after which a task counts up what it holds.
-HELD = 1 << 20
+HELD = 1 << 19
 CELLS = 1 << 16
 #: Bit maps hold between 2**16 and 2**MAP_BITS bits: 16 MB at most.
 MAP_BITS = 27
@@ -90,7 +90,7 @@ def batch_words(batch: pa.RecordBatch, seed: int) -> Iterator[Words]:
         inside = ~_GAP[raw]
         edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        power, inverse = _powers(max(22, int(len(raw)).bit_length()))
+        power, inverse = _powers(max(21, int(len(raw)).bit_length()))
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_VALUE[raw] * power[: len(raw)], out=total[1:])
         number = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))

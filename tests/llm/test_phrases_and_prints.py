@@ -290,3 +290,18 @@ def test_manifest_of_odd_rows(spark, odd):
     got = out.withColumn("back", merkle.fold(F.col("leaf"), F.col("steps"))).collect()
     assert len(got) == odd.count() and all(r["back"] == r["root"] for r in got)
     assert len({r["root"] for r in got}) == 1 and len({r["subroot"] for r in got}) == 2
+
+
+def test_a_task_splits_texts_into_words_in_little_memory():
+    import tracemalloc
+
+    from leptide.llm import common
+
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 400, "text": ["some words here " * 1250 + "."] * 400})
+    common._powers.cache_clear()
+    tracemalloc.start()
+    for _ in collocations.batch_words(batch, 0):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000
