@@ -216,6 +216,14 @@ def test_ancestry_matches_brute_force_with_cycles(spark):
     assert got == want
 
 
+def test_leptons_enter_only_the_cells_their_cones_touch(spark):
+    rng = random.Random(4)
+    rows = [(0, i, rng.uniform(-3, 3), rng.uniform(-math.pi, math.pi)) for i in range(2000)]
+    l = spark.createDataFrame(rows, "event_id int, lepton_id int, eta double, phi double")
+    placed, _ = dressing.entered(l, l.withColumnRenamed("lepton_id", "photon_id"), 0.1)
+    assert 2000 <= placed.count() < 3 * 2000
+
+
 def test_nearest_lepton_matches_brute_force_across_the_seam(spark):
     rng = random.Random(3)
     pt = lambda n, c: [(0, i, rng.uniform(-1, 1), rng.choice([math.pi - 0.05, -math.pi + 0.05, 0.5]) + rng.uniform(-0.05, 0.05)) for i in range(n)]
