@@ -335,3 +335,26 @@ def test_earlier_max_over_ranges(spark):
     assert got == want
     plan = ordering.with_earlier_max(df, "at", "v", tie="id", width=50)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_long_files_are_hashed_in_pieces(spark, tmp_path):
+    """Every task reads a part of a long file, and the digest is still that of the whole file."""
+    import random
+
+    noise = random.Random(7).randbytes(3_200_000)
+    bodies = {
+        "noise.parquet": noise, "ends.parquet": b"\n" + noise[:2_500_000] + b"\n\n", "mark.parquet": b"\xef\xbb\xbf" + noise[:2_000_000] + b"\n",
+        "mark_open.parquet": b"\xef\xbb\xbf\n" + noise[:2_000_000] + b"x", "feeds.parquet": b"\n" * 1_500_000, "plain.parquet": b"\0" * 1_500_000, "odd[1]{a}.parquet": b"\r\n" * 700_000 + b"\xff",
+        "packed.gz": noise[:1_200_000], "short.parquet": b"x\n",
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        long = f"file:{tmp_path}/noise.parquet"
+        assert listing.chained_digests(spark, {long: len(noise)}) == {long: hashlib.sha256(noise).hexdigest()}
+        got = {r.path.rsplit("/", 1)[1]: (r.length, r.content_sha256) for r in listing.content_fingerprints(spark, str(tmp_path), whole=1_000_000).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
