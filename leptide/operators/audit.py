@@ -6,6 +6,7 @@ Rules can be unioned, stored, inspected, or enforced with `enforce`.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from ..conventions import (
 )
 from ..functions.numeric import Sql, close, num
 from ..functions.statistics import mean_error, moments_consistent
+from ..session import cut
 
 Findings = DataFrame
 SCHEMA = "rule string, subject string, observed string, expected string"
@@ -174,6 +176,51 @@ def expected_values(long: DataFrame, wanted: Mapping[tuple[str, str], str]) -> F
     )
 
 
+def _field_tree(paths: Sequence[str]) -> dict | None:
+    """Dotted paths as nested names; None if one is no plain path or lies inside another."""
+    tree: dict = {}
+    for path in dict.fromkeys(paths):
+        *up, leaf = path.split(".")
+        if not all(re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name) for name in (*up, leaf)):
+            return None
+        node = tree
+        for name in up:
+            node = node.setdefault(name, {})
+            if node is None:
+                return None
+        if leaf in node:
+            return None
+        node[leaf] = None
+    return tree
+
+
+def _path_values(document: str, paths: Sequence[str]) -> tuple[Sql, Sql]:
+    """(what is to stand as `_v`, expression over it: the JSON texts at the paths, null where absent).
+
+    A lookup in a variant searches the names on every level again, for every
+    path. Where all paths are plain, one pass over the text picks up all of
+    them; documents that do not fit the tree of paths are looked up path by
+    path, and broken ones raise as `parse_json` does.
+    """
+    looked_up = "array(" + ", ".join(f"to_json(try_variant_get(_d, '$.{p}', 'variant'))" for p in paths) + ")"
+    slow = f"transform(array(parse_json({document})), _d -> {looked_up})[0]"
+    tree = _field_tree(paths)
+    if not tree:
+        return "null", slow
+
+    def kind(node: dict | None) -> str:
+        return "variant" if node is None else "struct<" + ", ".join(f"`{k}`: {kind(v)}" for k, v in node.items()) + ">"
+
+    misfit = "_misfit"
+    while misfit in tree:
+        misfit += "_"
+    schema = kind(tree)[:-1] + f", `{misfit}`: string>"
+    strict = f"map('columnNameOfCorruptRecord', '{misfit}', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+    read = "array(" + ", ".join(f"to_json(_v.{p})" for p in paths) + ")"
+    fits = f"{document} is null or (_v is not null and _v.{misfit} is null)"
+    return f"from_json({document}, '{schema}', {strict})", f"if({fits}, {read}, {slow})"
+
+
 def fingerprint(
     metadata: DataFrame, required: Sequence[str], optional: Sequence[str], *,
     document: str = "document", job: str = "job_id",
@@ -181,25 +228,34 @@ def fingerprint(
     """Long fingerprint (job, path, present, value) and its violations.
 
     Presence is part of the fingerprint: an absent optional path differs from
-    one that holds null.
+    one that holds null. Documents are read once. Jobs should agree, so any one
+    document is read ahead, and the others leave only what they hold otherwise
+    and the required paths they lack.
     """
-    struct = [
-        f"named_struct('path', '{p}', 'required', {str(req).lower()}, "
-        f"'value', to_json(try_variant_get(_v, '$.{p}', 'variant')))"
-        for paths, req in ((required, True), (optional, False))
-        for p in paths
-    ]
-    long = (
-        metadata.selectExpr(job, f"parse_json({document}) as _v")
-        .selectExpr(job, f"inline(array({', '.join(struct)}))")
-        .selectExpr(job, "path", "required", "value is not null as present", "value")
-    )
+    paths = [*required, *optional]
+    parsed, values = _path_values(document, paths)
+    read = metadata.selectExpr(job, document, f"{parsed} as _v").selectExpr(job, f"{values} as _values")
+    names = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(k < len(required)).alias("required")) for k, p in enumerate(paths)])
+    named = [F.get(names, F.col("_k"))["path"].alias("path"), F.get(names, F.col("_k"))["required"].alias("required"), F.col("value").isNotNull().alias("present"), "value"]
+    long = read.select(job, F.posexplode("_values").alias("_k", "value")).select(job, *named)
+
+    ahead = read.select("_values").first()
+    held = F.array(*[F.lit(v).cast("string") for v in (ahead[0] if ahead else [None] * len(paths))])
+    lacks = lambda c: (c["k"] < len(required)) & c["value"].isNull()
+    cells = F.transform("_values", lambda v, k: F.struct(k.alias("k"), v.alias("value")))
+    other = F.filter(cells, lambda c: ~c["value"].eqNullSafe(F.get(held, c["k"])) | lacks(c))
+    left = read.select(job, F.explode(other).alias("c")).select(job, F.col("c.k").alias("_k"), F.col("c.value").alias("value")).select(job, *named)
+    lost = F.col("required") & ~F.col("present")
+    seen = cut(left.groupBy("path", "present", "value", lost.alias("lost"), F.when(lost, F.col(job)).alias(job)).agg(F.count("*").alias("times")))
+    # a job that comes twice misses its path twice
     missing = findings(
-        long.where("required and not present"), "fingerprint.missing", [job, "path"], "'absent'", "'present'"
+        seen.where("lost").selectExpr(job, "path", "explode(array_repeat(0, int(times)))"),
+        "fingerprint.missing", [job, "path"], "'absent'", "'present'",
     )
-    distinct = long.groupBy("path", "present", "value").agg(F.count("*").alias("jobs"))
+    first = metadata.sparkSession.range(1 if ahead else 0).select(F.posexplode(held).alias("_k", "value")).select(*named)
     spread = (
-        distinct.groupBy("path")
+        seen.select("path", "present", "value").unionByName(first.select("path", "present", "value")).distinct()
+        .groupBy("path")
         .agg(
             F.count("*").alias("n"),
             F.min(F.struct(F.expr("coalesce(value, 'absent') as v"))).alias("lo"),

@@ -144,7 +144,10 @@ def physics_fingerprint(spark, sf):
             return f"if(user_id % 3 = 0, null, {whole})" if node == lost else f"if(value > 50D, null, {whole})" if node == optional else whole
         return "named_struct(" + ", ".join(f"'{k}', {text(v)}" for k, v in node.items()) + ")"
 
-    docs = bridge.tables(spark, sf, "events").selectExpr("event_id as job_id", f"to_json({text(tree)}) as document")
+    # a few bytes a row become a document of kilobytes: the table is dealt out before, however few row groups it has
+    few = bridge.tables(spark, sf, "events").select("event_id", "event_type", "user_id", "value")
+    few = few.repartition(8 * spark.sparkContext.defaultParallelism, "event_id")
+    docs = few.selectExpr("event_id as job_id", f"to_json({text(tree)}) as document")
     _, found = audit.fingerprint(docs, REQUIRED_PATHS, OPTIONAL_PATHS)
     return per_rule(found)
 

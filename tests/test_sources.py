@@ -358,3 +358,30 @@ def test_long_files_are_hashed_in_pieces(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert got == {name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
+
+
+def test_fingerprint_reads_odd_documents_as_before(spark):
+    """Nulls, types, misfits and doubled jobs count; each document is read by one job alone."""
+    from leptide.operators import audit
+
+    docs = [
+        (1, '{"a": {"x": 1, "y": null}, "b": "1"}'), (2, '{"a": {"x": 1, "y": null}, "b": 1}'), (3, '{"a": 5, "b": "1", "c": [1, {"z": 2}]}'),
+        (4, '[{"a": {"x": 1}}]'), (5, None), (5, None), (6, '{"a": {"x": "NaN"}, "b": {"q": 1}}'),
+    ]
+    df = spark.createDataFrame(docs, "job_id long, document string")
+    long, found = audit.fingerprint(df, ["a.x", "b"], ["a.y", "c"])
+    got = sorted((r.job_id, r.path, r.value) for r in long.where("present").collect())
+    assert got == [(1, "a.x", "1"), (1, "a.y", "null"), (1, "b", '"1"'), (2, "a.x", "1"), (2, "a.y", "null"), (2, "b", "1"),
+                   (3, "b", '"1"'), (3, "c", '[1,{"z":2}]'), (6, "a.x", '"NaN"'), (6, "b", '{"q":1}')]
+    rows = sorted((r.rule, r.subject) for r in found.collect())
+    lost = [("fingerprint.missing", s) for s in ("3/a.x", "4/a.x", "4/b", "5/a.x", "5/a.x", "5/b", "5/b")]
+    assert rows == [("fingerprint.differs", p) for p in ("a.x", "a.y", "b", "c")] + lost
+    with pytest.raises(Exception):
+        audit.fingerprint(df.unionByName(df.selectExpr("job_id", "'{\"a\": ' as document")), ["a.x"], ["b"])[1].collect()
+    inner, _ = audit.fingerprint(df.where("job_id = 1"), ["a"], ["a.x"])
+    assert sorted((r.path, r.value) for r in inner.collect()) == [("a", '{"x":1,"y":null}'), ("a.x", "1")]
+
+    # one pass: the documents are parsed where they are first read, and the findings come from what that left
+    wide = spark.range(2000).selectExpr("id as job_id", "to_json(named_struct('a', named_struct('x', 1), 'b', id % 2)) as document")
+    plan = audit.fingerprint(wide, ["a.x", "b"], ["c"])[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "parse_json" not in plan
