@@ -385,3 +385,14 @@ def test_fingerprint_reads_odd_documents_as_before(spark):
     wide = spark.range(2000).selectExpr("id as job_id", "to_json(named_struct('a', named_struct('x', 1), 'b', id % 2)) as document")
     plan = audit.fingerprint(wide, ["a.x", "b"], ["c"])[1]._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan and "parse_json" not in plan
+
+
+def test_job_events_are_derived_in_many_tasks(spark):
+    """A small file is one split; the rows of 255 columns are derived in many tasks, and none is lost."""
+    from leptide import bridge
+    from leptide.queries import aggregates
+
+    sf = "/root/testdata/sf0.001"
+    narrow = bridge.event_view(spark, sf, parts=6)
+    assert narrow.rdd.getNumPartitions() == 6 and narrow.count() == bridge.event_view(spark, sf).count()
+    assert "RepartitionByExpression" in aggregates._job_events(spark, sf)._jdf.queryExecution().analyzed().toString()
