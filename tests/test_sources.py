@@ -396,3 +396,46 @@ def test_job_events_are_derived_in_many_tasks(spark):
     narrow = bridge.event_view(spark, sf, parts=6)
     assert narrow.rdd.getNumPartitions() == 6 and narrow.count() == bridge.event_view(spark, sf).count()
     assert "RepartitionByExpression" in aggregates._job_events(spark, sf)._jdf.queryExecution().analyzed().toString()
+
+
+def _bare(spark, schema, n):
+    """n rows of a schema with nothing but the keys, 250 a job."""
+    keys = {"campaign_id": "20260902", "sample_code": "0", "job_id": "id div 250", "source_event_id": "id + 1"}
+    return spark.range(n).select(*[F.expr(keys.get(f.name, "null")).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def test_wide_events_are_written_where_they_are_derived(spark, tmp_path):
+    """Jobs lie together before the 255 columns are derived: what is moved has three columns, and each job is one file in order."""
+    from leptide import bridge
+    from leptide.plans import campaign_jobs
+    from leptide.queries import aggregates
+    from leptide.sinks.tables import event_schema
+
+    narrow = bridge.event_view(spark, "/root/testdata/sf0.001", parts=6, whole_jobs=True)
+    places = narrow.select("job_id", F.spark_partition_id().alias("p")).distinct()
+    assert places.count() == places.select("job_id").distinct().count() > 1
+    moved = campaign_jobs.events_by_job(aggregates._job_events(spark, "/root/testdata/sf0.001"), together=True)
+    plan = moved._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.rindex("Generate")
+    campaign_jobs.write_job_events(_bare(spark, event_schema(), 500).coalesce(1), str(tmp_path), together=True)
+    files = list((tmp_path / "Events" / "job=job-20260902-0-1").glob("*.parquet"))
+    assert len(files) == 1
+    assert [r.source_event_id for r in spark.read.parquet(str(files[0])).select("source_event_id").collect()] == list(range(251, 501))
+
+
+def test_kept_jobs_shuffle_no_events(spark, tmp_path):
+    """Which jobs are good is broadcast, whatever Spark holds their number to be."""
+    from leptide.plans import campaign_jobs
+    from leptide.sinks.tables import event_schema, run_schema
+
+    runs = _bare(spark, run_schema(), 500).dropDuplicates(["job_id"])
+    campaign_jobs.write_job_events(_bare(spark, event_schema(), 500), str(tmp_path))
+    campaign_jobs.write_job_records(runs, runs.selectExpr("campaign_id", "sample_code", "job_id", "'{\"a\": 1}' as document"), str(tmp_path))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        jobs = campaign_jobs.read_jobs(spark, str(tmp_path))
+        assert "Exchange hashpartitioning" not in jobs.events._jdf.queryExecution().executedPlan().toString()
+        assert jobs.events.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
