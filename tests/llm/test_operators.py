@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from leptide.llm import bpe, decontaminate, line_dedup, near_dup, perplexity, pii, queries, rule_classifier, sharding, token_count, url_filter
@@ -304,6 +305,27 @@ def test_rule_ensemble(spark, odd, none):
     assert empty.rules == [] and rule_classifier.score_documents(odd, empty).first()["score"] == pytest.approx(0.5)
 
 
+def plain_statistics(text):
+    words, lines = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w], text.split("\n")
+    n, count = len(words), lambda chars: sum(c in chars for c in text)
+    symbols, upper = "#*$%&|<>", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    of_words = [n, len(text), len(words) / max(1, len(lines)), *[count(c) / max(1, n) for c in (symbols, "|", "!?", ".;:")]]
+    of_words[1] /= max(1, n)
+    return [*of_words, count(upper) / max(1, len(text)), count("0123456789") / max(1, len(text)), (len(text.encode()) - len(text)) / max(1, len(text)), len(set(words)) / max(1, n), len(set(lines)) / max(1, len(lines))]
+
+
+def test_statistics_are_worked_out_once(spark):
+    """The numbers as counted plainly; a text is split into words at one place of the plan, not at one a number."""
+    texts = [*strange_texts(150), None, " a  B ", "\t#&|<>!?.;:09AZ\n\n&&||", "x\x0b\x0c\ry\u00a0z [^] - \\ É"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "doc_id long, text string")
+    out = df.select("doc_id", rule_classifier.stats_struct(F.col("text")).alias("s")).select("doc_id", "s.*")
+    for row in out.collect():
+        assert list(row[1:]) == pytest.approx(plain_statistics(texts[row[0]] or ""), abs=1e-12), texts[row[0]]
+    model = rule_classifier.RuleModel(0.0, [(1.0, [rule_classifier.Condition(k, True, 0.5)]) for k in rule_classifier.statistic_names()])
+    plan = rule_classifier.score_documents(df, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2 and plan.count("regexp_replace(") == 1
+
+
 # ---- 8, 9 tokens ---------------------------------------------------------
 
 
