@@ -116,27 +116,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: int = 12,
     )
     pair_map = _bit_map(spots.select(_pair(g, j).alias("x")))
     seed_map = _bit_map(seeds.select(F.col("seed").alias("x")))
-    h = F.col("h")
-
-    def may_hit(s: Column, i: Column) -> Column:
-        found = F.lit(False)
-        for m in every:
-            found = found | (_fits(s["h"], i, m) & _in_map(seed_map, _seed(s["h"], i, m), s["seeds"]))
-        return _in_map(pair_map, _pair(s["h"], i), s["pairs"]) & found
-
-    hashed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"), pair_map.words.alias("pairs"), seed_map.words.alias("seeds"))
-    hashed = hashed.select("row", "doc_id", F.transform(
-        F.array(F.struct("h", "pairs", "seeds")), lambda s: F.struct(s["h"].alias("h"), F.filter(_places(s["h"]), lambda i: may_hit(s, i)).alias("spots"))
-    )[0].alias("s"))
-    hashed = saved(hashed.select("row", "doc_id", "s.h", "s.spots").where(F.size("spots") > 0), "windows")
-
-    i = F.col("i")
-    asked = hashed.select("row", "h", F.explode("spots").alias("i")).select("row", "i", F.explode(_seeds(h, i, every)).alias("seed")).where(_in_map(seed_map, F.col("seed")))
-    diagonals = asked.join(seeds, "seed").select("row", "item_id", "length", (F.col("i") - F.col("j")).alias("shift")).distinct()
+    h, i = F.col("h"), F.col("i")
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"))
+    # places as rows: lookups are compiled, and few rows pass the first. The outer form keeps Spark from hashing the words twice
+    spots = hashed.select("row", "h", F.explode_outer(_places(h)).alias("i")).where(_in_map(pair_map, _pair(h, i)))
+    # the words of a window as columns: seven seeds of array elements would make a method too long for the JVM to compile
+    spots = spots.select("row", "i", *[_at(h, i, k).alias(f"w{k}") for k in range(SPAN)])
+    fitting = [F.when(F.col(f"w{mask[-1]}").isNotNull(), F.xxhash64(F.lit(m), *[F.col(f"w{k}") for k in mask])) for m, mask in enumerate((*MASKS, *LIGHT_MASKS))]
+    asked = spots.select("row", "i", F.explode_outer(F.array(*fitting)).alias("seed")).where(_in_map(seed_map, F.col("seed")))
+    diagonals = saved(asked.join(seeds, "seed").select("row", "item_id", "length", (F.col("i") - F.col("j")).alias("shift")).distinct(), "diagonals")
+    # documents with a diagonal are few: they are read once more, and only their words travel
+    row_map = _bit_map(diagonals.select(F.col("row").alias("x")).distinct())
+    met = docs.where(_in_map(row_map, F.xxhash64("doc_id", "text"))).select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", word_keys(F.col("text")).alias("h"))
     # only the words that an item covers travel on
     first = F.greatest(F.col("shift"), F.lit(0))
     covered = (
-        diagonals.join(hashed.dropDuplicates(["row"]).select("row", "doc_id", "h"), "row")
+        diagonals.join(met.dropDuplicates(["row"]), "row")
         .select("row", "doc_id", "item_id", "shift", "length", first.alias("start"), F.slice("h", first + 1, F.col("length") + F.least(F.col("shift"), F.lit(0))).alias("h"))
         .join(items, "item_id")
         .select("row", "doc_id", "item_id", "length", "start", F.zip_with("h", F.slice("g", F.greatest(-F.col("shift"), F.lit(0)) + 1, F.size("h")), lambda a, b: a == b).alias("same"))

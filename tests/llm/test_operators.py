@@ -132,6 +132,25 @@ def test_seeds_survive_substitutions(spark, odd, none):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_windows_are_looked_up_as_rows(spark, monkeypatch):
+    """The bit maps are asked in compiled filters, not inside a lambda, and only documents with a diagonal travel on."""
+    held = {}
+
+    def saved(df, name):
+        held[name] = df
+        return saved_as_it_is(df, name)
+
+    saved_as_it_is = decontaminate.saved
+    monkeypatch.setattr(decontaminate, "saved", saved)
+    docs = spark.createDataFrame([(k, prose(k, 200)) for k in range(30)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(prose(7, 200).split()[50:90]))], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items)
+    lines = [x for x in held["diagonals"]._jdf.queryExecution().optimizedPlan().toString().split("\n") if "getbit" in x]
+    assert len(lines) == 2 and not any("lambda" in x for x in lines)
+    assert "windows" not in held and held["diagonals"].select("row").distinct().count() == 1
+    assert [(r["doc_id"], r["matched"], r["doc_from"], r["doc_to"]) for r in found.collect()] == [(7, 40, 50, 90)]
+
+
 def test_short_items_survive_substitutions(spark):
     rng = random.Random(8)
     items = [(k, prose(1000 + k, 15 + k % 11)) for k in range(60)]
