@@ -272,6 +272,19 @@ def test_perplexity_rules(spark, odd, none):
     assert perplexity.perplexity_rules(none).count() == 0
 
 
+def test_models_of_every_language(spark):
+    """Texts without a language have a model; a language that has only empty texts needs none, and its rows stay."""
+    rows = [(k, prose(k, 80), "en") for k in range(5)] + [(10, prose(10, 80), None), (11, "", "es"), (12, None, "es"), (13, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = perplexity.fit_models(docs)
+    assert set(models) == {"en", None} and models[None].cost(prose(10, 80)) < models["en"].cost(prose(10, 80))
+    every = Counter(c for _, text, lang in rows if lang == "en" for c in perplexity.ngrams(text).tolist())
+    counted = perplexity.count_ngrams(docs).where("lang = 'en'").collect()
+    assert {r["code"]: r["n"] for r in counted} == every and models["en"].levels[-1][0].tolist() == sorted(every)
+    out = {r["doc_id"]: r for r in perplexity.perplexity_rules(docs).collect()}
+    assert len(out) == len(rows) and not any(out[k]["kept"] for k in (11, 12, 13)) and out[11]["log_perplexity"] == 0.0
+
+
 # ---- 6 line chunks -------------------------------------------------------
 
 
